@@ -174,7 +174,7 @@ def incremental_noop(spark, sf_dir):
 def sorted_layout(spark, sf_dir):
     spec = TransferSpec(
         alias="lineitem_by_date", database=workspace.fresh_database(spark),
-        query=f"SELECT * FROM {_sql_name(sf_dir, 'lineitem')}", layout=Layout(sort_by=("l_shipdate",)))
+        query=f"SELECT * FROM {_sql_name(sf_dir, 'lineitem')}", layout=Layout(sort_by=("l_shipdate",), ranged=True))
     transfer(spark, spec)
     return _live(spark, spec).groupBy("l_returnflag").agg(
         F.count(F.lit(1)).alias("rows"), F.min("l_shipdate").alias("first"), F.max("l_shipdate").alias("last"))

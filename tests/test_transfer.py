@@ -1,0 +1,352 @@
+import datetime as dt
+from dataclasses import replace
+from decimal import Decimal
+
+import pytest
+from hypothesis import HealthCheck, given, settings, strategies as st
+from pyspark.sql import functions as F
+
+from tidemark.operators import catalog
+from tidemark.operators import transfer as module
+from tidemark.operators.catalog import SchemaDrift, TableNames
+from tidemark.operators.mark import Mark, high_water_mark
+from tidemark.operators.transfer import INCREMENT, REFRESH, LoadState, OpenAppend, transfer
+from tidemark.plans.spec import Layout, TransferSpec
+
+SALARIES = [  # employee, salary, from_date; employee 4 is not in EMPLOYEES
+    (1, 100, dt.date(2000, 1, 1)), (2, 120, dt.date(2000, 1, 1)), (1, 130, dt.date(2001, 1, 1)),
+    (4, 90, dt.date(2001, 6, 1)), (3, 150, dt.date(2002, 1, 1)), (2, 160, dt.date(2002, 1, 1)),
+]
+EMPLOYEES = [(1, dt.date(1970, 1, 1)), (2, dt.date(1971, 1, 1)), (3, dt.date(1972, 1, 1))]
+
+
+def rows_of(spark, spec):
+    return sorted(tuple(r) for r in spark.table(names_of(spark, spec).live).collect())
+
+
+def names_of(spark, spec):
+    return TableNames.of(spark, spec.alias, spec.database)
+
+
+@pytest.fixture
+def salaries(spark, database):
+    """A spec over a table of salaries, as in the documented example."""
+    spark.createDataFrame(SALARIES, "emp_no int, salary int, from_date date").write.saveAsTable(f"{database}.salaries")
+    spark.createDataFrame(EMPLOYEES, "emp_no int, birth_date date").write.saveAsTable(f"{database}.employees_in")
+    return TransferSpec(
+        alias="employees", database=database, primary_key="from_date",
+        range_clause="where from_date > '{max_primary_key}'",
+        query=f"select s.emp_no, birth_date, s.from_date, s.salary from {database}.salaries s "
+              f"left join {database}.employees_in e on s.emp_no = e.emp_no",
+        layout=Layout(sort_by=("from_date",)))
+
+
+def add(spark, spec, rows):
+    frame = spark.createDataFrame(rows, "emp_no int, salary int, from_date date")
+    frame.write.insertInto(f"{spec.database}.salaries")
+
+
+EXPECTED = sorted((e, dict(EMPLOYEES).get(e), d, s) for e, s, d in SALARIES if e != 4)
+
+
+def test_first_run_loads_everything(spark, salaries):
+    result = transfer(spark, salaries)
+    assert (result.mode, result.rows, result.mark) == (REFRESH, 6, None)
+    got = rows_of(spark, salaries)
+    assert [r for r in got if r[0] != 4] == EXPECTED
+    assert [r for r in got if r[0] == 4] == [(4, None, dt.date(2001, 6, 1), 90)]
+
+
+def test_increment_takes_rows_above_the_mark(spark, salaries):
+    transfer(spark, salaries)
+    add(spark, salaries, [(3, 170, dt.date(2003, 1, 1)), (1, 99, dt.date(1999, 1, 1)), (1, 98, dt.date(2002, 1, 1))])
+    result = transfer(spark, salaries)
+    # strictly above: neither the earlier row nor the one that equals the mark
+    assert (result.mode, result.rows, result.mark) == (INCREMENT, 1, "2002-01-01")
+    assert len(rows_of(spark, salaries)) == 7
+
+
+def test_rerun_without_new_rows(spark, salaries):
+    transfer(spark, salaries)
+    before = rows_of(spark, salaries)
+    result = transfer(spark, salaries)
+    assert (result.mode, result.rows) == (INCREMENT, 0)
+    assert rows_of(spark, salaries) == before
+
+
+def test_refresh_is_idempotent_and_keeps_the_former_version(spark, salaries):
+    whole = replace(salaries, range_clause=None)
+    transfer(spark, whole)
+    first = rows_of(spark, whole)
+    add(spark, whole, [(3, 170, dt.date(2003, 1, 1))])
+    assert transfer(spark, whole).mode == REFRESH
+    names = names_of(spark, whole)
+    assert len(rows_of(spark, whole)) == 7
+    assert sorted(tuple(r) for r in spark.table(names.previous).collect()) == first
+    transfer(spark, whole)
+    assert len(rows_of(spark, whole)) == 7
+    assert not catalog.table_exists(spark, names.staging)
+
+
+def test_refresh_takes_a_new_schema(spark, salaries):
+    transfer(spark, salaries)
+    changed = replace(
+        salaries, range_clause=None, primary_key=None, layout=Layout(),
+        query=f"select emp_no from {salaries.database}.salaries")
+    transfer(spark, changed)
+    assert spark.table(names_of(spark, changed).live).columns == ["emp_no"]
+
+
+def test_refresh_may_read_its_own_target(spark, salaries):
+    transfer(spark, salaries)
+    live = names_of(spark, salaries).live
+    again = replace(salaries, range_clause=None, query=f"select * from {live} where salary > 100")
+    assert transfer(spark, again).rows == 4
+
+
+def test_failed_load_leaves_the_live_table(spark, salaries):
+    transfer(spark, salaries)
+    before = rows_of(spark, salaries)
+    broken = replace(
+        salaries, range_clause=None, primary_key=None, layout=Layout(),
+        query=f"select emp_no, raise_error('no') as x from {salaries.database}.salaries")
+    with pytest.raises(Exception):
+        transfer(spark, broken)
+    assert rows_of(spark, salaries) == before
+    transfer(spark, replace(salaries, range_clause=None))  # and what it left behind is no hindrance
+    assert rows_of(spark, salaries) == before
+
+
+def test_failed_swap_restores_the_live_table(spark, salaries, monkeypatch):
+    transfer(spark, salaries)
+    before = rows_of(spark, salaries)
+    rename, calls = catalog.rename_table, []
+
+    def failing(session, old, new):
+        calls.append(new)
+        if len(calls) == 2:
+            raise RuntimeError("lost")
+        rename(session, old, new)
+
+    monkeypatch.setattr(catalog, "rename_table", failing)
+    with pytest.raises(RuntimeError, match="lost"):
+        transfer(spark, replace(salaries, range_clause=None))
+    assert rows_of(spark, salaries) == before
+    assert not catalog.table_exists(spark, names_of(spark, salaries).previous)
+
+
+def test_empty_target_loads_all(spark, salaries):
+    catalog.create_table(spark, names_of(spark, salaries), spark.sql(salaries.query).schema)
+    result = transfer(spark, salaries)
+    assert (result.mode, result.rows, result.mark) == (INCREMENT, 6, None)
+
+
+@pytest.mark.parametrize("query", [
+    "select emp_no, birth_date, s.from_date, s.salary as pay",
+    "select emp_no, birth_date, s.from_date, cast(s.salary as bigint) as salary",
+    "select emp_no, birth_date, s.from_date",
+])
+def test_schema_drift_is_refused(spark, salaries, query):
+    transfer(spark, salaries)
+    drifted = replace(
+        salaries, query=f"{query} from {salaries.database}.salaries s "
+                        f"left join {salaries.database}.employees_in e using (emp_no)")
+    with pytest.raises(SchemaDrift):
+        transfer(spark, drifted)
+    assert transfer(spark, salaries).rows == 0  # the refused load published nothing
+
+
+def test_columns_in_another_order_are_matched_by_name(spark, salaries):
+    transfer(spark, salaries)
+    add(spark, salaries, [(3, 170, dt.date(2003, 1, 1))])
+    turned = replace(
+        salaries, query=f"select s.salary, s.from_date, birth_date, s.emp_no from {salaries.database}.salaries s "
+                        f"left join {salaries.database}.employees_in e on s.emp_no = e.emp_no")
+    assert transfer(spark, turned).rows == 1
+    assert (3, dt.date(1972, 1, 1), dt.date(2003, 1, 1), 170) in rows_of(spark, salaries)
+
+
+def test_range_clause_may_use_a_parameter_or_a_function(spark, salaries):
+    transfer(spark, salaries)
+    add(spark, salaries, [(3, 170, dt.date(2003, 1, 1))])
+    assert transfer(spark, replace(salaries, range_clause="where from_date > :max_primary_key")).rows == 1
+    add(spark, salaries, [(3, 180, dt.date(2004, 1, 1))])
+    assert transfer(spark, replace(salaries, range_clause=lambda mark: F.col("from_date") > mark)).rows == 1
+
+
+def test_range_clause_may_go_on_from_a_where(spark, salaries):
+    going_on = replace(
+        salaries, query=salaries.query + " where salary > 95", range_clause="and from_date > '{max_primary_key}'")
+    assert transfer(spark, going_on).rows == 5
+    add(spark, salaries, [(3, 170, dt.date(2003, 1, 1)), (3, 10, dt.date(2003, 1, 1))])
+    assert transfer(spark, going_on).rows == 1
+
+
+def test_rescan_finds_late_ties(spark, salaries):
+    rescan = replace(
+        salaries, range_clause="where from_date >= '{max_primary_key}'", row_key=("emp_no", "from_date"),
+        rescan_ties=True)
+    transfer(spark, rescan)
+    add(spark, rescan, [(1, 98, dt.date(2002, 1, 1)), (None, 97, dt.date(2002, 1, 1))])
+    assert transfer(spark, rescan).rows == 2
+    assert transfer(spark, rescan).rows == 0  # a missing key value equals itself
+
+
+def cut_off(spark, spec, partial):
+    """What a driver lost while it published an append leaves behind."""
+    live = names_of(spark, spec).live
+    LoadState(True, high_water_mark(spark, live, spec.primary_key)).keep(spark, live)
+    if partial:
+        add_rows = spark.sql(spec.query).where("from_date = date'2004-01-01'")
+        add_rows.select(spark.table(live).columns).write.insertInto(live)
+
+
+LATER = [(3, 170, dt.date(2003, 1, 1)), (3, 180, dt.date(2004, 1, 1)), (2, 175, dt.date(2004, 1, 1))]
+
+
+def test_append_cut_off_before_anything_was_published(spark, salaries):
+    transfer(spark, salaries)
+    add(spark, salaries, LATER)
+    cut_off(spark, salaries, partial=False)
+    assert transfer(spark, salaries).rows == 3
+
+
+def test_append_cut_off_in_part_is_completed_by_row_key(spark, salaries):
+    keyed = replace(salaries, row_key=("emp_no", "from_date"))
+    transfer(spark, keyed)
+    add(spark, keyed, LATER)
+    cut_off(spark, keyed, partial=True)
+    assert transfer(spark, keyed).rows == 1  # the earlier row, below the mark of what was published
+    assert len(rows_of(spark, keyed)) == 9 and transfer(spark, keyed).rows == 0
+
+
+def test_append_cut_off_in_part_is_refused_without_a_row_key(spark, salaries):
+    transfer(spark, salaries)
+    add(spark, salaries, LATER)
+    cut_off(spark, salaries, partial=True)
+    with pytest.raises(OpenAppend):
+        transfer(spark, salaries)
+    assert transfer(spark, salaries, force_refresh=True).rows == 9
+    assert transfer(spark, salaries).rows == 0
+
+
+def test_failed_append_is_tried_again(spark, salaries, monkeypatch):
+    transfer(spark, salaries)
+    add(spark, salaries, LATER)
+
+    def failing(*_):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(module, "append_rows", failing)
+        with pytest.raises(RuntimeError):
+            transfer(spark, salaries)
+    assert transfer(spark, salaries).rows == 3
+
+
+def test_source_view_is_dropped_also_after_a_failure(spark, salaries):
+    transfer(spark, salaries)
+    assert not spark.catalog.tableExists("tmp_employees__source")
+    with pytest.raises(Exception):
+        transfer(spark, replace(salaries, range_clause=None, query="select raise_error('no') as x"))
+    assert not spark.catalog.tableExists("tmp_employees__source")
+
+
+def test_listener_hears_of_the_rows(spark, salaries):
+    heard = []
+    transfer(spark, salaries, listener=heard.append)
+    assert [(r.alias, r.rows) for r in heard] == [("employees", 6)]
+
+
+def test_current_database_is_the_default(spark, salaries):
+    before = spark.catalog.currentDatabase()
+    spark.catalog.setCurrentDatabase(salaries.database)
+    try:
+        transfer(spark, replace(salaries, database=None))
+        assert catalog.table_exists(spark, f"{salaries.database}.employees")
+    finally:
+        spark.catalog.setCurrentDatabase(before)
+
+
+MARKS = [
+    ("tinyint", [1, 100]), ("smallint", [-5, 300]), ("int", [1, 70000]), ("bigint", [1, 2**40]), ("bigint", [-9, -7]),
+    ("float", [1.1, 2.3]), ("double", [1.1, 1e300]), ("decimal(38,10)", [Decimal("1.5"), Decimal("99999999999.5")]),
+    ("date", [dt.date(1969, 1, 1), dt.date(2024, 2, 29)]),
+    ("timestamp", [dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 1, 0, 0, 0, 1)]),
+    ("timestamp_ntz", [dt.datetime(2024, 1, 1), dt.datetime(2024, 10, 27, 2, 30, 0, 123456)]),
+    ("string", ["a", "it's \\ b"]),
+]
+
+
+@pytest.mark.parametrize("kind, values", MARKS)
+@pytest.mark.parametrize("kept", [False, True])
+def test_mark_keeps_its_type(spark, database, kind, values, kept):
+    spec = TransferSpec(
+        alias="t", database=database, primary_key="k", range_clause=lambda mark: F.col("k") > mark,
+        frame=lambda s: s.createDataFrame([(v,) for v in values], f"k {kind}"))
+    transfer(spark, spec)
+    live = names_of(spark, spec).live
+    state = LoadState.of(spark, live, "k")
+    mark = high_water_mark(spark, live, "k", at_least=state.mark if kept else None)
+    assert mark == state.mark
+    literal = spark.range(1).select(mark.literal().alias("k"))
+    want = "decimal" if kind.startswith("decimal") else kind
+    assert literal.schema[0].dataType.simpleString().startswith(want)
+    assert literal.first()[0] == spark.createDataFrame([(max(values),)], f"k {kind}").first()[0]
+    assert transfer(spark, spec).rows == 0
+
+
+def test_kept_mark_is_only_a_lower_bound(spark, database):
+    table = f"{database}.t"
+    spark.createDataFrame([(1.0,), (5.0,)], "k double").write.saveAsTable(table)
+    kind = spark.table(table).schema[0].dataType
+    assert high_water_mark(spark, table, "k", at_least=Mark("1.0", "1.0", kind)).value == "5.0"
+    assert high_water_mark(spark, table, "k", at_least=Mark("9.0", "9.0", kind)).value == "5.0"  # rows were removed
+
+
+def test_mark_of_an_hour_that_is_repeated(spark, database):
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "Europe/Berlin")
+    try:
+        # 2024-10-27 02:30 local time happens twice, at 00:30 and at 01:30 UTC
+        table = f"{database}.t"
+        spark.sql("select timestamp'2024-10-27 01:30:00Z' as k").write.saveAsTable(table)
+        mark = high_water_mark(spark, table, "k")
+        assert spark.table(table).where(F.col("k") > mark.literal()).count() == 0
+        assert spark.table(table).where(F.col("k") >= mark.literal()).count() == 1
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+def test_text_mark_cannot_break_out(spark):
+    from pyspark.sql.types import StringType
+
+    with pytest.raises(ValueError, match="bind"):
+        Mark("it's", "it's", StringType()).put_into("where k > '{max_primary_key}'")
+
+
+def test_every_marker_is_replaced(spark):
+    from pyspark.sql.types import IntegerType
+
+    clause = "where k > {max_primary_key} or j > {max_primary_key}"
+    assert Mark("7", "7", IntegerType()).put_into(clause) == "where k > 7 or j > 7"
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
+@given(
+    keys=st.lists(st.integers(0, 40), min_size=1, max_size=60),
+    cuts=st.lists(st.integers(0, 40), min_size=1, max_size=3),
+)
+def test_first_load_and_increments_make_one_full_load(spark, keys, cuts):
+    from tidemark.operators.workspace import fresh_database
+
+    database = fresh_database(spark)
+    source = spark.createDataFrame(list(enumerate(keys)), "id int, k int")
+    whole = TransferSpec(
+        alias="t", database=database, primary_key="k", range_clause=lambda mark: F.col("k") > mark,
+        frame=lambda s: source)
+    for cut in sorted(cuts):
+        transfer(spark, replace(whole, frame=lambda s, cut=cut: source.where(F.col("k") <= cut)))
+    transfer(spark, whole)
+    assert rows_of(spark, whole) == sorted(enumerate(keys))
+    assert transfer(spark, whole).rows == 0

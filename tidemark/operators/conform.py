@@ -3,33 +3,35 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql.types import StructField, StructType, TimestampNTZType, TimestampType
+from pyspark.sql.types import DataType, StructField, StructType, TimestampNTZType, TimestampType
 
 from tidemark.operators.catalog import quoted
 
 
-def _cast(field: StructField, truncate_seconds: bool) -> Column:
-    value = F.col(quoted(field.name)).try_cast(field.dataType)
-    if truncate_seconds and isinstance(field.dataType, (TimestampType, TimestampNTZType)):
-        value = F.date_trunc("second", value).cast(field.dataType)
-    return value
-
-
 def _refused(field: StructField) -> Column:
     column = F.col(quoted(field.name))
     return column.isNotNull() & column.try_cast(field.dataType).isNull()
 
 
+def _fitted(source: DataType, field: StructField) -> Column:
+    """The column as its target type; the job fails, naming the value, if that cannot hold it."""
+    column = F.col(quoted(field.name))
+    if source == field.dataType:
+        return column
+    message = F.concat(
+        F.lit(f"column {field.name} as {field.dataType.simpleString()} cannot hold "), column.cast("string"))
+    failure = F.when(column.isNotNull(), F.raise_error(message).cast(field.dataType))
+    return F.coalesce(column.try_cast(field.dataType), failure)
+
+
 def conform(df: DataFrame, schema: StructType, truncate_seconds: bool = False) -> DataFrame:
     """Select and cast the columns of ``schema``; a value that does not fit fails the job."""
     columns = []
     for field in schema.fields:
-        column = F.col(quoted(field.name))
-        message = F.concat(
-            F.lit(f"column {field.name} as {field.dataType.simpleString()} cannot hold "), column.cast("string"))
-        value = _cast(field, truncate_seconds)
-        columns.append(
-            F.when(_refused(field), F.raise_error(message).cast(field.dataType)).otherwise(value).alias(field.name))
+        column = _fitted(df.schema[field.name].dataType, field)
+        if truncate_seconds and isinstance(field.dataType, (TimestampType, TimestampNTZType)):
+            column = F.date_trunc("second", column).cast(field.dataType)
+        columns.append(column.alias(field.name))
     return df.select(*columns)
 
 

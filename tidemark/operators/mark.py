@@ -9,10 +9,9 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
-from tidemark.operators.catalog import quoted, table_detail
+from tidemark.operators.catalog import quoted
 from tidemark.plans.spec import MARK_TEXT
 
-_FOOTER_TYPES = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.DateType)
 _LITERALS = {
     T.ByteType: "{}Y",
     T.ShortType: "{}S",
@@ -56,10 +55,10 @@ class Mark:
 
 
 def metadata_session(spark: SparkSession) -> SparkSession:
-    """A session of the same application that answers from file footers.
+    """A session of the same application for questions that file footers answer.
 
-    Only the settings of the new session change. The Parquet reader then takes
-    max and count from footers, and many files are packed into each task, as
+    Only the settings of the new session differ. The Parquet reader then takes a
+    row count from the footers, and many files are packed into each task, as
     hardly any bytes are read from one.
     """
     session = spark.newSession()
@@ -73,12 +72,15 @@ def metadata_session(spark: SparkSession) -> SparkSession:
     return session
 
 
+def mark_texts(edge: Column, kind: T.DataType) -> tuple[Column, Column]:
+    """The ``value`` and ``exact`` texts of a column that holds a mark."""
+    exact = F.date_format(edge, "yyyy-MM-dd HH:mm:ss.SSSSSSXXX") if isinstance(kind, T.TimestampType) else edge
+    return edge.cast("string").alias("value"), exact.cast("string").alias("exact")
+
+
 def _edge(source: DataFrame, field: T.StructField, pick: Callable[[Column], Column]) -> Mark | None:
     edge = source.agg(pick(F.col(quoted(field.name))).alias("edge"))
-    exact = F.col("edge").cast("string")
-    if isinstance(field.dataType, T.TimestampType):
-        exact = F.date_format("edge", "yyyy-MM-dd HH:mm:ss.SSSSSSXXX")
-    row = edge.select(F.col("edge").cast("string").alias("value"), exact.alias("exact")).first()
+    row = edge.select(*mark_texts(F.col("edge"), field.dataType)).first()
     return None if row.value is None else Mark(row.value, row.exact, field.dataType)
 
 
@@ -87,17 +89,18 @@ def low_mark(df: DataFrame, column: str) -> Mark | None:
     return _edge(df, df.schema[column], F.min)
 
 
-def high_water_mark(spark: SparkSession, table: str, column: str) -> Mark | None:
+def high_water_mark(spark: SparkSession, table: str, column: str, at_least: Mark | None = None) -> Mark | None:
     """The largest value of a column; None for a table without one.
 
-    Integer and date columns of unpartitioned Parquet tables are answered from
-    the footers. Other columns are read, alone.
+    Only that column is read. When a value is known that the mark has already
+    reached, the filter on it leaves the footers of all files and the row groups
+    that can hold it or a larger one. Should no row be that large any more, the
+    column is read whole.
     """
-    source = spark.table(table)
+    source = metadata_session(spark).table(table)
     field = source.select(quoted(column)).schema[0]
-    if isinstance(field.dataType, _FOOTER_TYPES):
-        detail = table_detail(spark, table)
-        if detail.get("provider") == "parquet" and not detail.get("partition_columns"):
-            reader = metadata_session(spark).read.schema(T.StructType([field]))
-            source = reader.parquet(detail["location"])
+    if at_least is not None:
+        mark = _edge(source.where(F.col(quoted(field.name)) >= at_least.literal()), field, F.max)
+        if mark is not None:
+            return mark
     return _edge(source, field, F.max)

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions import measures
+from tidemark.functions.literals import literal_frame
 from tidemark.operators.catalog import TableNames, table_exists
 from tidemark.operators.stats import STATS_SCHEMA, table_stats
 from tidemark.operators.steps import apply_steps
@@ -33,7 +34,7 @@ RUN_LOG_SCHEMA = T.StructType([
 
 def run_frame(spark: SparkSession, runs: Iterable[tuple]) -> DataFrame:
     """Finished runs as one partition: a row per run."""
-    return spark.createDataFrame(list(runs), RUN_LOG_SCHEMA).coalesce(1)
+    return literal_frame(spark, runs, RUN_LOG_SCHEMA)
 
 
 def append_log(rows: DataFrame, table: str) -> None:
@@ -81,8 +82,8 @@ def run_totals(runs: DataFrame) -> DataFrame:
 def spec_frame(spark: SparkSession, specs: Iterable[TransferSpec]) -> DataFrame:
     """The declared transfers, a row each."""
     rows = [(s.alias, s.database, s.primary_key, s.incremental, s.interval) for s in specs]
-    return spark.createDataFrame(
-        rows, "alias string, database string, primary_key string, incremental boolean, interval string")
+    return literal_frame(spark, rows, T.StructType.fromDDL(
+        "alias string, database string, primary_key string, incremental boolean, interval string"))
 
 
 def _run(spark, spec, listener, with_stats) -> tuple[tuple, Exception | None]:

@@ -10,6 +10,7 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
+from tidemark.functions.literals import literal_frame
 from tidemark.functions.measures import checksum
 from tidemark.operators.catalog import table_exists
 from tidemark.plans.spec import FAILURE, LIFECYCLES, START, SUCCESS, Step, ordered_steps
@@ -39,7 +40,8 @@ class ChangedStep(RuntimeError):
 def step_frame(spark: SparkSession, alias: str, steps: Iterable[Step]) -> DataFrame:
     """Declared steps, a row each, with the checksum of their text."""
     rows = [(alias, s.version, s.lifecycle, s.query) for s in steps]
-    frame = spark.createDataFrame(rows, "alias string, version string, lifecycle string, query string")
+    frame = literal_frame(
+        spark, rows, T.StructType.fromDDL("alias string, version string, lifecycle string, query string"))
     return frame.withColumn("checksum", checksum(F.col("query")))
 
 
@@ -90,7 +92,7 @@ def _append(spark: SparkSession, table: str, step: DataFrame, status: str, elaps
         "checksum",
         F.lit(time.time_ns()).alias("seq"),
     )
-    row.coalesce(1).write.insertInto(table)
+    row.write.insertInto(table)
 
 
 def apply_steps(

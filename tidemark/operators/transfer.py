@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import functools
+import json
 import logging
 import operator
 from collections.abc import Callable
@@ -14,7 +15,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from tidemark.operators import catalog
 from tidemark.operators.catalog import TableNames, quoted
 from tidemark.operators.layout import arrange
-from tidemark.operators.mark import Mark, high_water_mark
+from tidemark.operators.mark import Mark, high_water_mark, mark_texts
 from tidemark.plans.spec import TransferSpec
 from tidemark.sources.query import source_frame, source_view
 
@@ -23,9 +24,7 @@ log = logging.getLogger(__name__)
 REFRESH = "refresh"
 INCREMENT = "increment"
 
-_STATE = "tidemark.append"
-_STATE_VALUE = "tidemark.append.value"
-_STATE_EXACT = "tidemark.append.exact"
+_STATE_PROPERTY = "tidemark.load"
 
 
 class OpenAppend(RuntimeError):
@@ -42,21 +41,65 @@ class TransferResult:
     mark: str | None = None
 
 
-def _counted(df: DataFrame) -> tuple[DataFrame, Observation]:
-    """Count the rows while they are written; a separate count would run the query twice."""
-    seen = Observation()
-    return df.observe(seen, F.count(F.lit(1)).alias("rows")), seen
+@dataclass(frozen=True)
+class LoadState:
+    """What the last load left as a property of its table.
+
+    ``open`` until an append reports its end. ``mark`` is the largest key then
+    known; the table may have a larger one since.
+    """
+
+    open: bool = False
+    mark: Mark | None = None
+
+    def keep(self, spark: SparkSession, table: str) -> None:
+        texts = [self.mark.value, self.mark.exact] if self.mark else None
+        catalog.set_properties(spark, table, {_STATE_PROPERTY: json.dumps({"open": self.open, "mark": texts})})
+
+    @classmethod
+    def of(cls, spark: SparkSession, table: str, column: str) -> LoadState:
+        kept = catalog.get_properties(spark, table).get(_STATE_PROPERTY)
+        if kept is None:
+            return cls()
+        state = json.loads(kept)
+        kind = spark.table(table).select(quoted(column)).schema[0].dataType
+        return cls(state["open"], Mark(*state["mark"], kind) if state["mark"] else None)
+
+
+class _Watched:
+    """Rows with their count and largest key, both taken while they are written.
+
+    The metrics sit on top of the plan, so a task that is run twice counts once.
+    """
+
+    def __init__(self, df: DataFrame, column: str | None):
+        self._seen = Observation()
+        metrics = [F.count(F.lit(1)).alias("rows")]
+        self._kind = None
+        if column is not None:
+            self._kind = df.select(quoted(column)).schema[0].dataType
+            metrics += mark_texts(F.max(F.col(quoted(column))), self._kind)
+        self.rows = df.observe(self._seen, *metrics)
+
+    def count(self) -> int:
+        return self._seen.get["rows"]
+
+    def top(self) -> Mark | None:
+        value = self._seen.get.get("value")
+        return None if value is None else Mark(value, self._seen.get["exact"], self._kind)
 
 
 def write_staging(spark: SparkSession, spec: TransferSpec, names: TableNames, df: DataFrame) -> int:
     """Load the staging table from scratch and return its row count."""
     catalog.drop_table(spark, names.staging)
-    rows, seen = _counted(arrange(df, spec.layout))
-    writer = rows.write.format("parquet").options(**spec.layout.write_options())
+    watched = _Watched(arrange(df, spec.layout), spec.primary_key)
+    writer = watched.rows.write.format("parquet").options(**spec.layout.write_options())
     if spec.layout.partition_by:
         writer = writer.partitionBy(*spec.layout.partition_by)
     writer.option("path", catalog.new_location(spark, names)).saveAsTable(names.staging)
-    return seen.get["rows"]
+    if spec.primary_key is not None:
+        LoadState(mark=watched.top()).keep(spark, names.staging)
+    return watched.count()
 
 
 def refresh(spark: SparkSession, spec: TransferSpec, names: TableNames) -> int:
@@ -70,13 +113,13 @@ def refresh(spark: SparkSession, spec: TransferSpec, names: TableNames) -> int:
     return rows
 
 
-def append_rows(spark: SparkSession, spec: TransferSpec, table: str, df: DataFrame) -> int:
-    """Append to a table, by position after a check by name; returns the row count."""
+def append_rows(spark: SparkSession, spec: TransferSpec, table: str, df: DataFrame) -> tuple[int, Mark | None]:
+    """Append to a table, by position after a check by name; returns row count and largest key."""
     target = spark.table(table).schema
     catalog.check_columns(table, target, df.schema)
-    rows, seen = _counted(arrange(df, spec.layout).select(*map(quoted, target.names)))
-    rows.write.insertInto(table)
-    return seen.get["rows"]
+    watched = _Watched(arrange(df, spec.layout).select(*map(quoted, target.names)), spec.primary_key)
+    watched.rows.write.insertInto(table)
+    return watched.count(), watched.top()
 
 
 def without_present(df: DataFrame, present: DataFrame, row_key: tuple[str, ...]) -> DataFrame:
@@ -86,16 +129,6 @@ def without_present(df: DataFrame, present: DataFrame, row_key: tuple[str, ...])
     return df.join(keys, functools.reduce(operator.and_, same), "left_anti")
 
 
-def _open_mark(spark: SparkSession, table: str, column: str) -> tuple[bool, Mark | None]:
-    """Whether an append is open, and the mark it started from."""
-    found = catalog.get_properties(spark, table)
-    if found.get(_STATE) != "open":
-        return False, None
-    if not found[_STATE_EXACT]:
-        return True, None
-    return True, Mark(found[_STATE_VALUE], found[_STATE_EXACT], spark.table(table).schema[column].dataType)
-
-
 def increment(spark: SparkSession, spec: TransferSpec, names: TableNames) -> tuple[int, Mark | None]:
     """Append the rows above the mark of the live table.
 
@@ -105,19 +138,15 @@ def increment(spark: SparkSession, spec: TransferSpec, names: TableNames) -> tup
     mark is used, and rows that are present already are left out by ``row_key``.
     """
     live = names.live
-    mark = high_water_mark(spark, live, spec.primary_key)
-    was_open, kept = _open_mark(spark, live, spec.primary_key)
-    repair = was_open and kept != mark
+    state = LoadState.of(spark, live, spec.primary_key)
+    mark = high_water_mark(spark, live, spec.primary_key, at_least=state.mark)
+    repair = state.open and mark != state.mark
     if repair:
         if not spec.row_key:
             raise OpenAppend(f"{live}: an append was cut off; give a row_key to complete it, or refresh the table")
-        mark = kept
-    elif not was_open:
-        catalog.set_properties(spark, live, {
-            _STATE: "open",
-            _STATE_VALUE: mark.value if mark else "",
-            _STATE_EXACT: mark.exact if mark else "",
-        })
+        mark = state.mark
+    elif not state.open:
+        LoadState(True, mark).keep(spark, live)
     with source_view(spark, spec, mark) as view:
         df = spark.table(view)
         if repair or spec.rescan_ties:
@@ -126,8 +155,8 @@ def increment(spark: SparkSession, spec: TransferSpec, names: TableNames) -> tup
                 reached = F.col(quoted(spec.primary_key)) >= mark.literal()
                 df, present = df.where(reached), present.where(reached)
             df = without_present(df, present, spec.row_key)
-        rows = append_rows(spark, spec, live, df)
-    catalog.set_properties(spark, live, {_STATE: "closed"})
+        rows, top = append_rows(spark, spec, live, df)
+    LoadState(False, top or mark).keep(spark, live)
     return rows, mark
 
 

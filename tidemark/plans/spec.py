@@ -34,19 +34,28 @@ def check_name(kind: str, name: str) -> str:
 class Layout:
     """How the files of a target are arranged.
 
-    ``sort_by`` range-partitions and sorts the rows, so that file and row-group
-    min/max values prune range reads. ``partition_by`` makes directories.
+    ``sort_by`` sorts the rows of each file, so that the min/max values of its row
+    groups prune range reads; this needs no shuffle. ``ranged`` also gives every
+    file a range of its own, at the price of a shuffle and a sampling pass over
+    the source. ``partition_by`` makes directories. ``spread_by`` shuffles by the
+    given columns before writing, for sources that come in few splits.
     """
 
     sort_by: tuple[str, ...] = ()
+    ranged: bool = False
     partition_by: tuple[str, ...] = ()
+    spread_by: tuple[str, ...] = ()
     row_group_bytes: int | None = None
     compression: str | None = None
 
     def __post_init__(self):
-        for name in ("sort_by", "partition_by"):
+        for name in ("sort_by", "partition_by", "spread_by"):
             if isinstance(getattr(self, name), str):
                 raise TypeError(f"{name} takes a tuple of column names")
+        if self.ranged and not self.sort_by:
+            raise ValueError("a ranged layout needs sort_by")
+        if sum(map(bool, (self.ranged, self.partition_by, self.spread_by))) > 1:
+            raise ValueError("choose one of ranged, partition_by and spread_by")
 
     def write_options(self) -> dict[str, str]:
         options = {}
