@@ -284,12 +284,13 @@ def latest_step_status(spark, sf_dir):
 
 
 def pending_steps(spark, sf_dir):
-    key = F.col("o_orderkey").cast("string")
+    def named(key):
+        version = F.col(key).cast("string")
+        return F.concat(F.lit("digits_"), F.length(version).cast("string")).alias("alias"), version.alias("version")
+
     declared = _load(spark, sf_dir, "orders").select(
-        F.lit("orders").alias("alias"), key.alias("version"),
-        F.when(F.col("o_orderstatus") == "F", AFTER).otherwise(BEFORE).alias("lifecycle"))
-    done = _load(spark, sf_dir, "lineitem").where(F.col("l_returnflag") == "R").select(
-        F.lit("orders").alias("alias"), F.col("l_orderkey").cast("string").alias("version"))
+        *named("o_orderkey"), F.when(F.col("o_orderstatus") == "F", AFTER).otherwise(BEFORE).alias("lifecycle"))
+    done = _load(spark, sf_dir, "lineitem").where(F.col("l_returnflag") == "R").select(*named("l_orderkey"))
     return steps.pending_steps(declared, done, BEFORE)
 
 
@@ -504,7 +505,7 @@ def oracle_sql() -> dict[str, str]:
             "CASE WHEN value > 10 THEN 'success' ELSE 'start' END AS status, props AS elapsed, event_id AS seq "
             "FROM events QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC) = 1",
         "pending_steps":
-            "SELECT 'orders' AS alias, o_orderkey::VARCHAR AS version, 'before' AS lifecycle FROM orders "
+            "SELECT 'digits_' || length(o_orderkey::VARCHAR) AS alias, o_orderkey::VARCHAR AS version, 'before' AS lifecycle FROM orders "
             "WHERE o_orderstatus <> 'F' AND NOT EXISTS "
             "(SELECT 1 FROM lineitem WHERE l_returnflag = 'R' AND l_orderkey = o_orderkey)",
         "apply_once_steps":

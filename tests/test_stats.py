@@ -1,0 +1,112 @@
+import datetime as dt
+import glob
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from tidemark.operators.catalog import create_table, TableNames
+from tidemark.operators.stats import (
+    COLUMNS_SCHEMA, PARTS_SCHEMA, file_columns, file_parts, storage_stats, table_sizes, table_stats)
+from tidemark.operators.transfer import transfer
+from tidemark.plans.spec import Layout, TransferSpec
+
+DAY = dt.datetime(2024, 1, 1)
+
+
+def part(table, rows, size, active=True, database="db", day=0):
+    return (database, table, active, rows, DAY + dt.timedelta(days=day), size, 7, "parquet")
+
+
+def stats(spark, parts, columns, **bound):
+    frames = spark.createDataFrame(parts, PARTS_SCHEMA), spark.createDataFrame(columns, COLUMNS_SCHEMA)
+    return {r.table: r for r in storage_stats(*frames, **bound).collect()}
+
+
+def test_parts_are_summed_and_joined(spark):
+    parts = [part("a", 10, 100), part("a", 5, 50, day=3), part("a", 99, 999, active=False), part("b", 1, 10)]
+    columns = [("db", "a", "x", 30, 120), ("db", "a", "y", 20, 80), ("db", "c", "x", 1, 1)]
+    got = stats(spark, parts, columns)
+    assert set(got) == {"a", "b"}
+    a, b = got["a"], got["b"]
+    assert (a.rows, a.disk_size, a.bytes_size, a.pk_size, a.engine) == (15, 150, 150, 14, "parquet")
+    assert a.last_modified == DAY + dt.timedelta(days=3)
+    assert (a.compressed_size, a.uncompressed_size, a.compression_ratio) == (50, 200, 4.0)
+    assert (b.rows, b.compressed_size, b.compression_ratio) == (1, None, None)
+
+
+def test_both_sides_are_bound_alike(spark):
+    parts = [part("a", 1, 1), part("a", 2, 2, database="other"), part("b", 3, 3)]
+    columns = [("db", "a", "x", 10, 20), ("other", "a", "x", 1, 9), ("db", "b", "x", 5, 5)]
+    got = stats(spark, parts, columns, database="db", table="a")
+    assert set(got) == {"a"} and (got["a"].rows, got["a"].compression_ratio) == (1, 2.0)
+    both = storage_stats(spark.createDataFrame(parts, PARTS_SCHEMA), spark.createDataFrame(columns, COLUMNS_SCHEMA))
+    ratios = {(r.database, r.table): r.compression_ratio for r in both.collect()}
+    assert ratios == {("db", "a"): 2.0, ("other", "a"): 9.0, ("db", "b"): 1.0}
+
+
+def test_nothing_stored_has_no_ratio(spark):
+    got = stats(spark, [part("a", 1, 1)], [("db", "a", "x", 0, 0)])
+    assert got["a"].compression_ratio is None
+
+
+@pytest.fixture
+def tables(spark, database, data):
+    layouts = {"orders": Layout(), "events": Layout(partition_by=("event_type",))}
+    for name, layout in layouts.items():
+        transfer(spark, TransferSpec(
+            alias=name, database=database, layout=layout, frame=lambda s, n=name: s.read.parquet(f"{data}/{n}.parquet")))
+    return {name: TableNames.of(spark, name, database).live for name in layouts}
+
+
+def files_of(spark, database, name):
+    folder = spark.catalog.getDatabase(database).locationUri.removeprefix("file:")
+    return glob.glob(f"{folder}/{name}__v_*/**/*.parquet", recursive=True)
+
+
+def test_table_stats_against_the_files(spark, database, tables, data):
+    import pyarrow.parquet as pq
+
+    got = {r.table: r for r in table_stats(spark, tables.values()).collect()}
+    assert set(got) == set(tables)
+    for name, row in got.items():
+        files = files_of(spark, database, name)
+        groups = [pq.read_metadata(f).row_group(i) for f in files for i in range(pq.read_metadata(f).num_row_groups)]
+        chunks = [g.column(i) for g in groups for i in range(g.num_columns)]
+        assert row.rows == spark.read.parquet(f"{data}/{name}.parquet").count()
+        assert row.disk_size == row.bytes_size == sum(os.stat(f).st_size for f in files)
+        assert row.compressed_size == sum(c.total_compressed_size for c in chunks)
+        assert row.uncompressed_size == sum(c.total_uncompressed_size for c in chunks)
+        assert row.compression_ratio == pytest.approx(row.uncompressed_size / row.compressed_size)
+        newest = max(os.stat(f).st_mtime for f in files)
+        assert abs(row.last_modified.replace(tzinfo=dt.timezone.utc).timestamp() - newest) < 1
+        assert row.engine == "parquet"
+
+
+def test_table_sizes_against_the_files(spark, database, tables):
+    create_table(spark, TableNames.of(spark, "nothing", database), spark.range(1).schema)
+    names = [*tables.values(), f"{database}.nothing"]
+    got = {r.table: r.size for r in table_sizes(spark, names).collect()}
+    want = {name: sum(os.stat(f).st_size for f in files_of(spark, database, name)) for name in tables}
+    assert got == {**want, "nothing": 0}
+
+
+def test_an_empty_table_has_no_statistics(spark, database):
+    create_table(spark, TableNames.of(spark, "nothing", database), spark.range(1).schema)
+    assert table_stats(spark, [f"{database}.nothing"]).count() == 0
+
+
+def test_rows_come_from_the_footers(spark, tables):
+    plan = file_parts(spark, [tables["orders"]])._jdf.queryExecution().executedPlan().toString()
+    assert "PushedAggregation: [COUNT(*)]" in plan and "content" not in plan
+
+
+def test_columns_are_listed_with_their_sizes(spark, tables):
+    sizes = file_columns(spark, [tables["orders"]]).groupBy("column").agg(F.sum("data_compressed_bytes").alias("n"))
+    got = {r.column: r.n for r in sizes.collect()}
+    assert set(got) == set(spark.table(tables["orders"]).columns) and all(n > 0 for n in got.values())
+
+
+def test_unknown_tables_are_named(spark, database):
+    with pytest.raises(Exception, match="no_such"):
+        table_stats(spark, [f"{database}.no_such"])

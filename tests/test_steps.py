@@ -1,0 +1,130 @@
+import datetime as dt
+import zlib
+
+import pytest
+from pyspark.sql import functions as F
+
+from tidemark.functions.measures import checksum
+from tidemark.operators.steps import (
+    STEP_LOG_SCHEMA, ChangedStep, FailedStep, apply_steps, create_step_log, latest_step_status, pending_steps, step_frame)
+from tidemark.plans.spec import AFTER, BEFORE, Step
+
+NOON = dt.datetime(2024, 1, 1, 12, 0, 0, tzinfo=dt.timezone.utc)
+
+
+def log_row(version, status, seconds=0, seq=0, text="x", alias="a"):
+    stamp = NOON + dt.timedelta(seconds=seconds)
+    return (alias, version, stamp, BEFORE, status, "0", str(zlib.crc32(text.encode())), seq)
+
+
+@pytest.fixture
+def log_table(spark, database):
+    create_step_log(spark, f"{database}.step_log")
+    return f"{database}.step_log"
+
+
+@pytest.fixture
+def counted(spark, database):
+    """A step that leaves a row each time it runs."""
+    spark.sql(f"create table {database}.ran (n int) using parquet")
+    return Step("1", f"insert into {database}.ran values (1)"), lambda: spark.table(f"{database}.ran").count()
+
+
+def statuses(spark, table):
+    return [(r.version, r.status) for r in spark.table(table).orderBy("timestamp", "seq").collect()]
+
+
+def test_a_step_runs_once(spark, log_table, counted):
+    step, runs = counted
+    assert apply_steps(spark, "a", [step], BEFORE, log_table) == ["1"]
+    assert apply_steps(spark, "a", [step], BEFORE, log_table) == []
+    assert runs() == 1
+    assert statuses(spark, log_table) == [("1", "start"), ("1", "success")]
+    row = spark.table(log_table).where("status = 'success'").first()
+    assert row.checksum == str(zlib.crc32(step.query.encode())) and float(row.elapsed) >= 0
+
+
+def test_another_alias_has_its_own_log(spark, log_table, counted):
+    step, runs = counted
+    apply_steps(spark, "a", [step], BEFORE, log_table)
+    assert apply_steps(spark, "b", [step], BEFORE, log_table) == ["1"]
+    assert runs() == 2
+
+
+def test_only_the_asked_lifecycle_runs(spark, log_table, database):
+    steps = [Step("1", f"create table {database}.one (n int) using parquet", BEFORE),
+             Step("2", f"create table {database}.two (n int) using parquet", AFTER)]
+    assert apply_steps(spark, "a", steps, AFTER, log_table) == ["2"]
+    assert not spark.catalog.tableExists(f"{database}.one")
+
+
+def test_steps_run_in_the_order_of_versions(spark, log_table, database):
+    steps = [Step("10", f"insert into {database}.t values (10)"), Step("2", f"insert into {database}.t values (2)"),
+             Step("1", f"create table {database}.t (n int) using parquet")]
+    assert apply_steps(spark, "a", steps, BEFORE, log_table) == ["1", "2", "10"]
+
+
+def test_a_failed_step_is_logged_and_stops_the_next_run(spark, log_table, counted):
+    step, runs = counted
+    broken = Step("0", "insert into no_such_table values (1)")
+    with pytest.raises(FailedStep, match="step 0 of a failed"):
+        apply_steps(spark, "a", [broken, step], BEFORE, log_table)
+    assert statuses(spark, log_table) == [("0", "start"), ("0", "failure")]
+    with pytest.raises(FailedStep, match="found a failed step for a, version 0"):
+        apply_steps(spark, "a", [broken, step], BEFORE, log_table)
+    assert runs() == 0
+
+
+def test_a_step_without_an_end_stops_the_run_when_it_is_reached(spark, log_table, counted):
+    step, runs = counted
+    spark.createDataFrame([log_row("2", "start")], STEP_LOG_SCHEMA).write.insertInto(log_table)
+    with pytest.raises(FailedStep, match="version 2"):
+        apply_steps(spark, "a", [step, Step("2", "select 1")], BEFORE, log_table)
+    assert runs() == 1
+
+
+def test_a_query_as_a_step_is_run(spark, log_table):
+    with pytest.raises(FailedStep):
+        apply_steps(spark, "a", [Step("1", "select raise_error('ran')")], BEFORE, log_table)
+
+
+def test_a_step_may_name_the_target(spark, log_table, database):
+    spark.sql(f"create table {database}.target (n int) using parquet")
+    step = Step("1", "insert into identifier(:target) values (5)")
+    apply_steps(spark, "a", [step], BEFORE, log_table, f"{database}.target")
+    assert spark.table(f"{database}.target").first().n == 5
+
+
+def test_a_changed_text_is_reported_and_refused_on_request(spark, log_table, counted):
+    step, runs = counted
+    apply_steps(spark, "a", [step], BEFORE, log_table)
+    changed = Step("1", step.query + " -- again")
+    declared = step_frame(spark, "a", [changed])
+    assert latest_step_status(spark.table(log_table), declared).first().checksum_changed
+    assert apply_steps(spark, "a", [changed], BEFORE, log_table) == []
+    with pytest.raises(ChangedStep):
+        apply_steps(spark, "a", [changed], BEFORE, log_table, refuse_changes=True)
+    assert runs() == 1
+
+
+def test_latest_status(spark):
+    log = spark.createDataFrame([
+        log_row("1", "start", 0, 1), log_row("1", "success", 5, 2),
+        log_row("2", "success", 0, 1), log_row("2", "start", 9, 2),
+        log_row("3", "start", 0, 1), log_row("3", "success", 0, 2),  # equal times
+        log_row("3", "start", 0, 1, alias="b"),
+    ], STEP_LOG_SCHEMA)
+    got = {(r.alias, r.version): r.status for r in latest_step_status(log).collect()}
+    assert got == {("a", "1"): "success", ("a", "2"): "start", ("a", "3"): "success", ("b", "3"): "start"}
+
+
+def test_pending(spark):
+    steps = step_frame(spark, "a", [Step("1", "x"), Step("2", "y"), Step("3", "z", AFTER)])
+    log = spark.createDataFrame([log_row("1", "start"), log_row("2", "success", alias="b")], STEP_LOG_SCHEMA)
+    assert [r.version for r in pending_steps(steps, log, BEFORE).collect()] == ["2"]
+    assert sorted(r.version for r in pending_steps(steps, log).collect()) == ["2", "3"]
+
+
+def test_checksum_is_crc32_of_the_whole_text(spark, data):
+    documents = spark.read.parquet(f"{data}/documents.parquet").select("text", checksum(F.col("text")).alias("c"))
+    assert all(r.c == str(zlib.crc32(r.text.encode())) for r in documents.collect())

@@ -6,6 +6,7 @@ import functools
 from collections.abc import Iterable, Iterator
 
 import pandas as pd
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
@@ -81,8 +82,24 @@ def _names(detail: dict) -> tuple[Column, Column]:
 
 def _files(session: SparkSession, location: str) -> DataFrame:
     """Path, time and size of the files below a folder; no content is read."""
-    reader = session.read.format("binaryFile").option("recursiveFileLookup", "true")
-    return reader.load(location).select("path", "modificationTime", "length")
+    try:
+        reader = session.read.format("binaryFile").option("recursiveFileLookup", "true")
+        return reader.load(location).select("path", "modificationTime", "length")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":  # a table that was created and never loaded
+            raise
+        return session.createDataFrame([], "path string, modificationTime timestamp, length bigint")
+
+
+def _row_count(session: SparkSession, location: str, schema: T.StructType) -> DataFrame:
+    """The rows below a folder, from the footers; no row for none."""
+    try:
+        files = session.read.schema(schema).parquet(location)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        files = session.createDataFrame([], schema)
+    return files.agg(F.count(F.lit(1)).alias("rows")).where(F.col("rows") > 0)
 
 
 def file_parts(spark: SparkSession, tables: Iterable[str]) -> DataFrame:
@@ -101,8 +118,7 @@ def file_parts(spark: SparkSession, tables: Iterable[str]) -> DataFrame:
         files = _files(session, detail["location"]).select(
             *same, none.alias("rows"), F.col("modificationTime").alias("modification_time"),
             F.col("length").alias("bytes"), none.alias("primary_key_bytes_in_memory"), engine)
-        counted = session.read.schema(schema).parquet(detail["location"]).agg(F.count(F.lit(1)).alias("rows"))
-        count = counted.where(F.col("rows") > 0).select(
+        count = _row_count(session, detail["location"], schema).select(
             *same, "rows", F.lit(None).cast("timestamp").alias("modification_time"),
             none.alias("bytes"), none.alias("primary_key_bytes_in_memory"), engine)
         frames += [files, count]
