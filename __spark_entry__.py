@@ -163,7 +163,7 @@ def incremental_rescan(spark, sf_dir):
 
 
 def incremental_noop(spark, sf_dir):
-    spec = replace(_enriched(sf_dir, workspace.fresh_database(spark)))
+    spec = _enriched(sf_dir, workspace.fresh_database(spark))
     first, second = transfer(spark, spec), transfer(spark, spec)
     return _live(spark, spec).agg(
         F.lit(first.rows).cast("bigint").alias("first_rows"),
@@ -359,7 +359,7 @@ def stats_join(spark, sf_dir):
         F.col("l_shipdate").alias("modification_time"),
         F.round(F.col("l_extendedprice") * 100).cast("bigint").alias("bytes"),
         F.col("l_linenumber").cast("bigint").alias("primary_key_bytes_in_memory"),
-        F.lit("parquet").alias("engine"))
+        F.concat(F.lit("engine_"), F.col("l_suppkey").cast("string")).alias("engine"))
     columns = _load(spark, sf_dir, "supplier").where(F.col("s_acctbal") > 0).select(
         F.lit("O").alias("database"),
         F.concat(F.lit("supplier_"), F.col("s_suppkey").cast("string")).alias("table"),
@@ -526,14 +526,15 @@ def oracle_sql() -> dict[str, str]:
             "SELECT 'user_' || user_id AS alias, max(ts) FILTER (WHERE event_type = 'purchase') AS started, "
             "arg_max(event_id, ts) FILTER (WHERE event_type = 'purchase') AS rows FROM events GROUP BY user_id",
         "stats_join":
-            "SELECT 'O' AS \"database\", p.\"table\", rows, last_modified, disk_size, pk_size, 'parquet' AS engine, "
+            "SELECT 'O' AS \"database\", p.\"table\", rows, last_modified, disk_size, pk_size, engine, "
             "disk_size AS bytes_size, compressed_size, uncompressed_size, "
             "CASE WHEN compressed_size > 0 THEN uncompressed_size::DOUBLE / compressed_size END AS compression_ratio "
             "FROM (SELECT 'supplier_' || s_suppkey AS \"table\", sum(s_nationkey)::BIGINT AS compressed_size, "
             "sum(round(s_acctbal * 100)::BIGINT)::BIGINT AS uncompressed_size FROM supplier WHERE s_acctbal > 0 "
             "GROUP BY 1) c RIGHT JOIN (SELECT 'supplier_' || l_suppkey AS \"table\", "
             "sum(l_quantity::BIGINT)::BIGINT AS rows, max(l_shipdate) AS last_modified, "
-            "sum(round(l_extendedprice * 100)::BIGINT)::BIGINT AS disk_size, sum(l_linenumber)::BIGINT AS pk_size "
+            "sum(round(l_extendedprice * 100)::BIGINT)::BIGINT AS disk_size, sum(l_linenumber)::BIGINT AS pk_size, "
+            "any_value('engine_' || l_suppkey) AS engine "
             "FROM lineitem WHERE l_returnflag <> 'R' AND l_linestatus = 'O' GROUP BY 1) p ON c.\"table\" = p.\"table\"",
         "table_stats": " UNION ALL ".join(
             f"SELECT '{t}' AS \"table\", count(*) AS rows, 'parquet' AS engine, true AS stored, true AS has_ratio FROM {t}"

@@ -59,7 +59,7 @@ def metadata_session(spark: SparkSession) -> SparkSession:
 
     Only the settings of the new session differ. The Parquet reader then takes a
     row count from the footers, and many files are packed into each task, as
-    hardly any bytes are read from one.
+    hardly any bytes are read from one. A new session also lists the files anew.
     """
     session = spark.newSession()
     for key, value in {

@@ -52,18 +52,25 @@ def storage_stats(
 
     Both sides are bound to the same database and table, and aggregated to a row
     per table before they are joined. A table that is missing from ``columns``
-    keeps its row, without sizes.
+    keeps its row, without sizes. Parts are summed per engine first: sums alone
+    fit a hash aggregate, and the text of the engine would make it sort all parts.
     """
     bound = _bound(database, table)
     sizes = columns.where(bound).groupBy("database", "table").agg(
         F.sum("data_compressed_bytes").alias("compressed_size"),
         F.sum("data_uncompressed_bytes").alias("uncompressed_size"),
     )
-    stored = parts.where(F.col("active") & bound).groupBy("database", "table").agg(
+    per_engine = parts.where(F.col("active") & bound).groupBy("database", "table", "engine").agg(
         F.sum("rows").alias("rows"),
         F.max("modification_time").alias("last_modified"),
+        F.sum("bytes").alias("bytes"),
+        F.sum("primary_key_bytes_in_memory").alias("pk_bytes"),
+    )
+    stored = per_engine.groupBy("database", "table").agg(
+        F.sum("rows").alias("rows"),
+        F.max("last_modified").alias("last_modified"),
         F.sum("bytes").alias("disk_size"),
-        F.sum("primary_key_bytes_in_memory").alias("pk_size"),
+        F.sum("pk_bytes").alias("pk_size"),
         F.any_value("engine").alias("engine"),
         F.sum("bytes").alias("bytes_size"),
     )

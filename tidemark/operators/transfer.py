@@ -150,6 +150,7 @@ def increment(spark: SparkSession, spec: TransferSpec, names: TableNames) -> tup
     with source_view(spark, spec, mark) as view:
         df = spark.table(view)
         if repair or spec.rescan_ties:
+            spark.catalog.refreshTable(live)  # another session may have appended
             present = spark.table(live)
             if mark is not None:
                 reached = F.col(quoted(spec.primary_key)) >= mark.literal()

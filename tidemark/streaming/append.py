@@ -43,7 +43,8 @@ def stream_append(rows: DataFrame, spec: TransferSpec, checkpoint: str, query_na
     """
     if not spec.row_key:
         raise ValueError(f"{spec.alias}: a streaming append needs a row_key")
-    names = TableNames.of(rows.sparkSession, spec.alias, spec.database)
+    outer = rows.sparkSession
+    names = TableNames.of(outer, spec.alias, spec.database)
     key = f"tidemark.stream.{zlib.crc32(checkpoint.encode()):08x}"
     schema = rows.schema
 
@@ -55,6 +56,7 @@ def stream_append(rows: DataFrame, spec: TransferSpec, checkpoint: str, query_na
         if number < last or (number == last and done):
             return
         if number == last:
+            spark.catalog.refreshTable(names.live)
             present = spark.table(names.live)
             low = low_mark(batch, spec.primary_key) if spec.primary_key else None
             if low is not None:
@@ -64,6 +66,7 @@ def stream_append(rows: DataFrame, spec: TransferSpec, checkpoint: str, query_na
         catalog.set_properties(spark, names.live, {key: f"{number}:begun"})
         append_rows(spark, spec, names.live, batch)
         catalog.set_properties(spark, names.live, {key: f"{number}:done"})
+        outer.catalog.refreshTable(names.live)  # batches run in a session of their own
 
     writer = rows.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     if query_name:
