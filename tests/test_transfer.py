@@ -304,6 +304,45 @@ def test_kept_mark_is_only_a_lower_bound(spark, database):
     assert high_water_mark(spark, table, "k", at_least=Mark("9.0", "9.0", kind)).value == "5.0"  # rows were removed
 
 
+def test_trusted_mark_is_not_looked_up(spark, salaries, monkeypatch):
+    trusting = replace(salaries, trust_mark=True)
+    transfer(spark, trusting)
+    add(spark, trusting, LATER)
+    with monkeypatch.context() as patch:
+        patch.setattr(module, "high_water_mark", None)
+        assert transfer(spark, trusting).rows == 3
+        assert transfer(spark, trusting).rows == 0
+    cut_off(spark, trusting, partial=False)  # an open append is looked into all the same
+    assert transfer(spark, trusting).rows == 0
+
+
+@pytest.mark.parametrize("kind", [
+    "bigint", "int", "date_add(date'1970-01-01', cast(id / 100 as int))", "timestamp_seconds(id)", "double",
+    "decimal(20,2)", "lpad(cast(id as string), 9, '0')"])
+def test_kept_mark_skips_row_groups(spark, database, kind):
+    from tidemark.operators.mark import metadata_session
+
+    spark.conf.set("spark.sql.parquet.outputTimestampType", "TIMESTAMP_MICROS")
+    try:
+        key = F.expr(kind if "(id" in kind else f"cast(id as {kind})")
+        rows = spark.range(0, 100_000, 1, 2).select(key.alias("k"), F.sha2(F.col("id").cast("string"), 256).alias("x"))
+        spec = TransferSpec(
+            alias="t", database=database, frame=lambda s: rows, primary_key="k",
+            range_clause=lambda mark: F.col("k") > mark, layout=Layout(row_group_bytes=1 << 18))
+        transfer(spark, spec)
+    finally:
+        spark.conf.unset("spark.sql.parquet.outputTimestampType")
+    live = names_of(spark, spec).live
+    mark = LoadState.of(spark, live, "k").mark
+    assert high_water_mark(spark, live, "k", at_least=mark) == mark
+    top = metadata_session(spark).table(live).where(F.col("k") >= mark.literal())
+    top.collect()
+    scan = top._jdf.queryExecution().executedPlan()
+    while not scan.nodeName().startswith("Scan"):
+        scan = scan.children().apply(0)
+    assert scan.metrics().apply("numOutputRows").value() < 50_000
+
+
 def test_mark_of_an_hour_that_is_repeated(spark, database):
     zone = spark.conf.get("spark.sql.session.timeZone")
     spark.conf.set("spark.sql.session.timeZone", "Europe/Berlin")

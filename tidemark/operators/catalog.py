@@ -14,7 +14,7 @@ from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StructField, StructType
 
 from tidemark.plans.spec import Layout, check_name
 
@@ -27,6 +27,14 @@ def sql_text(value: str) -> str:
     return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
+def field_of(schema: StructType, column: str) -> StructField:
+    """A column by its name, in any case."""
+    for field in schema.fields:
+        if field.name.lower() == column.lower():
+            return field
+    raise KeyError(f"no column {column} in {schema.names}")
+
+
 @dataclass(frozen=True)
 class TableNames:
     """The live table of an alias and the tables next to it."""

@@ -9,7 +9,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
-from tidemark.operators.catalog import quoted
+from tidemark.operators.catalog import field_of, quoted
 from tidemark.plans.spec import MARK_TEXT
 
 _LITERALS = {
@@ -65,7 +65,7 @@ def metadata_session(spark: SparkSession) -> SparkSession:
     for key, value in {
         "spark.sql.sources.useV1SourceList": "",
         "spark.sql.parquet.aggregatePushdown": "true",
-        "spark.sql.files.maxPartitionBytes": "1t",
+        "spark.sql.files.maxPartitionBytes": "16g",
         "spark.sql.session.timeZone": spark.conf.get("spark.sql.session.timeZone"),
     }.items():
         session.conf.set(key, value)
@@ -86,7 +86,7 @@ def _edge(source: DataFrame, field: T.StructField, pick: Callable[[Column], Colu
 
 def low_mark(df: DataFrame, column: str) -> Mark | None:
     """The smallest value of a column."""
-    return _edge(df, df.schema[column], F.min)
+    return _edge(df, field_of(df.schema, column), F.min)
 
 
 def high_water_mark(spark: SparkSession, table: str, column: str, at_least: Mark | None = None) -> Mark | None:
@@ -98,7 +98,7 @@ def high_water_mark(spark: SparkSession, table: str, column: str, at_least: Mark
     column is read whole.
     """
     source = metadata_session(spark).table(table)
-    field = source.select(quoted(column)).schema[0]
+    field = field_of(source.schema, column)
     if at_least is not None:
         mark = _edge(source.where(F.col(quoted(field.name)) >= at_least.literal()), field, F.max)
         if mark is not None:

@@ -13,7 +13,7 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from tidemark.operators import catalog
-from tidemark.operators.catalog import TableNames, quoted
+from tidemark.operators.catalog import TableNames, field_of, quoted
 from tidemark.operators.layout import arrange
 from tidemark.operators.mark import Mark, high_water_mark, mark_texts
 from tidemark.plans.spec import TransferSpec
@@ -62,7 +62,7 @@ class LoadState:
         if kept is None:
             return cls()
         state = json.loads(kept)
-        kind = spark.table(table).select(quoted(column)).schema[0].dataType
+        kind = field_of(spark.table(table).schema, column).dataType
         return cls(state["open"], Mark(*state["mark"], kind) if state["mark"] else None)
 
 
@@ -77,7 +77,7 @@ class _Watched:
         metrics = [F.count(F.lit(1)).alias("rows")]
         self._kind = None
         if column is not None:
-            self._kind = df.select(quoted(column)).schema[0].dataType
+            self._kind = field_of(df.schema, column).dataType
             metrics += mark_texts(F.max(F.col(quoted(column))), self._kind)
         self.rows = df.observe(self._seen, *metrics)
 
@@ -139,7 +139,10 @@ def increment(spark: SparkSession, spec: TransferSpec, names: TableNames) -> tup
     """
     live = names.live
     state = LoadState.of(spark, live, spec.primary_key)
-    mark = high_water_mark(spark, live, spec.primary_key, at_least=state.mark)
+    if spec.trust_mark and state.mark is not None and not state.open:
+        mark = state.mark
+    else:
+        mark = high_water_mark(spark, live, spec.primary_key, at_least=state.mark)
     repair = state.open and mark != state.mark
     if repair:
         if not spec.row_key:

@@ -105,6 +105,9 @@ class TransferSpec:
     ``row_key`` names columns that identify a row. It is needed for
     ``rescan_ties`` (rows equal to the mark that came late are looked for again)
     and to complete an append that a lost driver left open.
+
+    ``trust_mark`` takes the mark that the last load left, without a look at the
+    rows. It suits targets that nothing but these transfers writes.
     """
 
     alias: str
@@ -118,6 +121,7 @@ class TransferSpec:
     interval: str | None = None
     row_key: tuple[str, ...] = ()
     rescan_ties: bool = False
+    trust_mark: bool = False
     schema: StructType | None = None
     truncate_seconds: bool = False
 
