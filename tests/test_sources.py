@@ -76,3 +76,22 @@ def test_jdbc_source_gets_the_range_in_its_query(spark, monkeypatch):
     assert asked == ["select id from t", "select id from t where id > 41"]
     assert jdbc.connection_options(JdbcSource("jdbc:db", driver="d", options={"a": "b"})) == {
         "url": "jdbc:db", "fetchsize": "10000", "a": "b", "driver": "d"}
+
+
+def test_catalogue_of_a_remote_database(spark, monkeypatch):
+    from tidemark.functions.typemap import map_catalogue
+
+    rows = [("t", "id", 1, "bigint(20) unsigned", "NO"), ("t", "day", 2, "datetime(6)", "YES")]
+    asked = []
+
+    def read(session, source, text):
+        asked.append((source.num_partitions, text))
+        return session.createDataFrame(rows, "a string, b string, c int, d string, e string")
+
+    monkeypatch.setattr(jdbc, "read_jdbc", read)
+    mapped = map_catalogue(jdbc.read_catalogue(spark, SOURCE, "shop")).orderBy("position").collect()
+    assert [(r.column, r.target_type, r.spark_type) for r in mapped] == [
+        ("id", "UInt64", "decimal(20,0)"), ("day", "Nullable(DateTime)", "timestamp")]
+    assert asked[0][0] == 1 and asked[0][1].endswith("WHERE table_schema = 'shop'")
+    with pytest.raises(ValueError):
+        jdbc.catalogue_query("shop' OR '1")

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from dataclasses import replace
 
-from tidemark.plans.spec import JdbcSource
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from tidemark.plans.spec import JdbcSource, check_name
 
 
 def connection_options(source: JdbcSource) -> dict[str, str]:
@@ -42,6 +44,21 @@ def read_options(source: JdbcSource, query: str, bounds: tuple | None = None) ->
     return options
 
 
+def catalogue_query(database: str) -> str:
+    """The columns of every table of a remote database, with their full type texts."""
+    return (
+        "SELECT table_name, column_name, ordinal_position, column_type, is_nullable "
+        f"FROM information_schema.columns WHERE table_schema = '{check_name('database', database)}'"
+    )
+
+
+def read_catalogue(spark: SparkSession, source: JdbcSource, database: str) -> DataFrame:
+    """Catalogue rows of a remote database, for the type map."""
+    rows = read_jdbc(spark, replace(source, partition_column=None, num_partitions=1), catalogue_query(database))
+    return rows.toDF("table", "column", "position", "type_text", "is_nullable").select(
+        "table", "column", "position", "type_text", (F.lower("is_nullable") == "yes").alias("nullable"))
+
+
 def read_jdbc(spark: SparkSession, source: JdbcSource, query: str) -> DataFrame:
     bounds = None
     if source.num_partitions > 1:
