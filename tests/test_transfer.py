@@ -389,3 +389,37 @@ def test_first_load_and_increments_make_one_full_load(spark, keys, cuts):
     transfer(spark, whole)
     assert rows_of(spark, whole) == sorted(enumerate(keys))
     assert transfer(spark, whole).rows == 0
+
+
+@pytest.mark.parametrize("key", ["from_date", "salary"])
+def test_partitioned_target_takes_increments(spark, salaries, key):
+    """The mark may be the partition column itself, or another one."""
+    parted = replace(
+        salaries, primary_key=key, range_clause=f"where {key} > '{{max_primary_key}}'",
+        layout=Layout(partition_by=("from_date",), sort_by=("salary",)))
+    assert transfer(spark, parted).rows == 6
+    add(spark, parted, LATER)
+    result = transfer(spark, parted)
+    assert (result.mode, result.rows) == (INCREMENT, 3)
+    live = spark.table(names_of(spark, parted).live)
+    want = spark.sql(salaries.query)
+    assert live.select(want.columns).exceptAll(want).count() == 0 and live.count() == 9
+    assert transfer(spark, parted).rows == 0
+    for _ in range(2):  # the second one frees the files of a partitioned version
+        assert transfer(spark, parted, force_refresh=True).rows == 9
+    assert live.sparkSession.table(names_of(spark, parted).live).count() == 9
+
+
+def test_created_table_has_the_layout(spark, database):
+    names = TableNames.of(spark, "t", database)
+    schema = spark.createDataFrame([], "id long, `a b` decimal(5,2), day date").schema
+    catalog.create_table(spark, names, schema, Layout(partition_by=("day",), compression="zstd"))
+    detail = catalog.table_detail(spark, names.live)
+    assert detail["partition_columns"] == ["day"] and detail["provider"] == "parquet"
+    assert [c["name"] for c in detail["columns"]] == ["id", "a b", "day"]
+    spec = TransferSpec(
+        alias="t", database=database, primary_key="id", range_clause=lambda mark: F.col("id") > mark,
+        frame=lambda s: s.createDataFrame([(1, Decimal("1.50"), dt.date(2024, 1, 1))], schema),
+        layout=Layout(partition_by=("day",)))
+    assert transfer(spark, spec).rows == 1
+    assert transfer(spark, spec).rows == 0

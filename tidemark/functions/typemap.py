@@ -49,8 +49,8 @@ MAX_PRECISION = 38
 
 
 def _lookup(table: dict[str, tuple[str, str]], side: int, key: Column) -> Column:
-    entries = [F.lit(x) for word, pair in table.items() for x in (word, pair[side])]
-    return F.try_element_at(F.create_map(*entries), key)
+    entries = ", ".join(f"'{word}', '{pair[side]}'" for word, pair in table.items())
+    return F.try_element_at(F.expr(f"map({entries})"), key)
 
 
 def _parsed(type_text: Column) -> Column:

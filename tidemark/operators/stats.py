@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import functools
+from collections import defaultdict
 from collections.abc import Iterable, Iterator
 
 import pandas as pd
@@ -133,12 +134,12 @@ def file_parts(spark: SparkSession, tables: Iterable[str]) -> DataFrame:
 
 
 def _read_footers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Column sizes of each file, from its footer."""
+    """Column sizes of a batch of files, from their footers; a row per table and column."""
     import pyarrow.fs
     import pyarrow.parquet
 
     for batch in batches:
-        rows = []
+        sizes = defaultdict(lambda: [0, 0])
         for database, table, path in batch.itertuples(index=False):
             scheme, _, rest = path.partition(":")
             uri = {"s3a": "s3", "s3n": "s3"}.get(scheme, scheme) + "://" + "/" * (scheme == "file") + rest.lstrip("/")
@@ -149,14 +150,16 @@ def _read_footers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 group = footer.row_group(g)
                 for c in range(group.num_columns):
                     chunk = group.column(c)
-                    rows.append((database, table, chunk.path_in_schema.partition(".")[0],
-                                 chunk.total_compressed_size, chunk.total_uncompressed_size))
-        yield pd.DataFrame(rows, columns=[
-            "database", "table", "column", "data_compressed_bytes", "data_uncompressed_bytes"])
+                    size = sizes[database, table, chunk.path_in_schema.partition(".")[0]]
+                    size[0] += chunk.total_compressed_size
+                    size[1] += chunk.total_uncompressed_size
+        yield pd.DataFrame(
+            [(*key, *size) for key, size in sizes.items()],
+            columns=["database", "table", "column", "data_compressed_bytes", "data_uncompressed_bytes"])
 
 
 def file_columns(spark: SparkSession, tables: Iterable[str]) -> DataFrame:
-    """Stored sizes of each column chunk of Parquet tables.
+    """Stored sizes of the columns of Parquet tables, in one row or more for each column.
 
     Spark has no function for them, so tasks read the footers of the files that
     Spark lists and hands out.
