@@ -195,7 +195,7 @@ def test_rescan_finds_late_ties(spark, salaries):
 def cut_off(spark, spec, partial):
     """What a driver lost while it published an append leaves behind."""
     live = names_of(spark, spec).live
-    LoadState(True, high_water_mark(spark, live, spec.primary_key)).keep(spark, live)
+    LoadState(True, high_water_mark(spark, live, spec.primary_key)).keep(spark, live, spec.primary_key)
     if partial:
         add_rows = spark.sql(spec.query).where("from_date = date'2004-01-01'")
         add_rows.select(spark.table(live).columns).write.insertInto(live)
@@ -353,10 +353,20 @@ def test_mark_of_an_hour_that_is_repeated(spark, database):
         mark = high_water_mark(spark, table, "k")
         assert spark.table(table).where(F.col("k") > mark.literal()).count() == 0
         assert spark.table(table).where(F.col("k") >= mark.literal()).count() == 1
+        spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+        assert high_water_mark(spark, table, "k") == mark  # the same in every time zone
     finally:
         spark.conf.set("spark.sql.session.timeZone", zone)
 
 
+def test_mark_of_another_column_is_not_used(spark, salaries):
+    transfer(spark, replace(salaries, trust_mark=True))
+    add(spark, salaries, [(3, 170, dt.date(1999, 1, 1))])
+    by_salary = replace(
+        salaries, primary_key="salary", range_clause="where salary > {max_primary_key}", trust_mark=True)
+    assert transfer(spark, by_salary).rows == 1
+
+
 def test_text_mark_cannot_break_out(spark):
     from pyspark.sql.types import StringType
 

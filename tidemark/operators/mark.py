@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, field
+from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
@@ -21,7 +22,6 @@ _LITERALS = {
     T.DoubleType: "{}D",
     T.DecimalType: "{}BD",
     T.DateType: "DATE'{}'",
-    T.TimestampType: "TIMESTAMP'{}'",
     T.TimestampNTZType: "TIMESTAMP_NTZ'{}'",
 }
 
@@ -30,11 +30,12 @@ _LITERALS = {
 class Mark:
     """A mark with its column type.
 
-    ``value`` is the ISO text for range clauses. ``exact`` also carries the
-    offset of a timestamp, so that no hour is ambiguous.
+    ``value`` is the ISO text for range clauses, in the time zone of the session.
+    ``exact`` is the same in every session: for a timestamp, microseconds since
+    1970, so that no hour is ambiguous.
     """
 
-    value: str
+    value: str = field(compare=False)
     exact: str
     type: T.DataType
 
@@ -42,6 +43,9 @@ class Mark:
         """The mark as a literal of the column's own type, so that filters push down."""
         if isinstance(self.type, T.StringType):
             return F.lit(self.exact)
+        if isinstance(self.type, T.TimestampType):
+            moment = datetime(1970, 1, 1) + timedelta(microseconds=int(self.exact))
+            return F.expr(f"TIMESTAMP'{moment.isoformat()}Z'")
         form = _LITERALS.get(type(self.type))
         if form is None:
             raise TypeError(f"no high-water mark over {self.type.simpleString()}")
@@ -74,14 +78,14 @@ def metadata_session(spark: SparkSession) -> SparkSession:
 
 def mark_texts(edge: Column, kind: T.DataType) -> tuple[Column, Column]:
     """The ``value`` and ``exact`` texts of a column that holds a mark."""
-    exact = F.date_format(edge, "yyyy-MM-dd HH:mm:ss.SSSSSSXXX") if isinstance(kind, T.TimestampType) else edge
+    exact = F.unix_micros(edge) if isinstance(kind, T.TimestampType) else edge
     return edge.cast("string").alias("value"), exact.cast("string").alias("exact")
 
 
-def _edge(source: DataFrame, field: T.StructField, pick: Callable[[Column], Column]) -> Mark | None:
-    edge = source.agg(pick(F.col(quoted(field.name))).alias("edge"))
-    row = edge.select(*mark_texts(F.col("edge"), field.dataType)).first()
-    return None if row.value is None else Mark(row.value, row.exact, field.dataType)
+def _edge(source: DataFrame, key: T.StructField, pick: Callable[[Column], Column]) -> Mark | None:
+    edge = source.agg(pick(F.col(quoted(key.name))).alias("edge"))
+    row = edge.select(*mark_texts(F.col("edge"), key.dataType)).first()
+    return None if row.value is None else Mark(row.value, row.exact, key.dataType)
 
 
 def low_mark(df: DataFrame, column: str) -> Mark | None:
@@ -98,9 +102,9 @@ def high_water_mark(spark: SparkSession, table: str, column: str, at_least: Mark
     column is read whole.
     """
     source = metadata_session(spark).table(table)
-    field = field_of(source.schema, column)
+    key = field_of(source.schema, column)
     if at_least is not None:
-        mark = _edge(source.where(F.col(quoted(field.name)) >= at_least.literal()), field, F.max)
+        mark = _edge(source.where(F.col(quoted(key.name)) >= at_least.literal()), key, F.max)
         if mark is not None:
             return mark
-    return _edge(source, field, F.max)
+    return _edge(source, key, F.max)

@@ -52,9 +52,10 @@ class LoadState:
     open: bool = False
     mark: Mark | None = None
 
-    def keep(self, spark: SparkSession, table: str) -> None:
+    def keep(self, spark: SparkSession, table: str, column: str) -> None:
         texts = [self.mark.value, self.mark.exact] if self.mark else None
-        catalog.set_properties(spark, table, {_STATE_PROPERTY: json.dumps({"open": self.open, "mark": texts})})
+        state = {"open": self.open, "column": column, "mark": texts}
+        catalog.set_properties(spark, table, {_STATE_PROPERTY: json.dumps(state)})
 
     @classmethod
     def of(cls, spark: SparkSession, table: str, column: str) -> LoadState:
@@ -62,8 +63,9 @@ class LoadState:
         if kept is None:
             return cls()
         state = json.loads(kept)
-        kind = field_of(spark.table(table).schema, column).dataType
-        return cls(state["open"], Mark(*state["mark"], kind) if state["mark"] else None)
+        if state["mark"] is None or state["column"] != column:
+            return cls(state["open"])
+        return cls(state["open"], Mark(*state["mark"], field_of(spark.table(table).schema, column).dataType))
 
 
 class _Watched:
@@ -98,7 +100,7 @@ def write_staging(spark: SparkSession, spec: TransferSpec, names: TableNames, df
         writer = writer.partitionBy(*spec.layout.partition_by)
     writer.option("path", catalog.new_location(spark, names)).saveAsTable(names.staging)
     if spec.primary_key is not None:
-        LoadState(mark=watched.top()).keep(spark, names.staging)
+        LoadState(mark=watched.top()).keep(spark, names.staging, spec.primary_key)
     return watched.count()
 
 
@@ -149,7 +151,7 @@ def increment(spark: SparkSession, spec: TransferSpec, names: TableNames) -> tup
             raise OpenAppend(f"{live}: an append was cut off; give a row_key to complete it, or refresh the table")
         mark = state.mark
     elif not state.open:
-        LoadState(True, mark).keep(spark, live)
+        LoadState(True, mark).keep(spark, live, spec.primary_key)
     with source_view(spark, spec, mark) as view:
         df = spark.table(view)
         if repair or spec.rescan_ties:
@@ -160,7 +162,7 @@ def increment(spark: SparkSession, spec: TransferSpec, names: TableNames) -> tup
                 df, present = df.where(reached), present.where(reached)
             df = without_present(df, present, spec.row_key)
         rows, top = append_rows(spark, spec, live, df)
-    LoadState(False, top or mark).keep(spark, live)
+    LoadState(False, top or mark).keep(spark, live, spec.primary_key)
     return rows, mark
 
 

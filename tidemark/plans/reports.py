@@ -18,10 +18,3 @@ def left_join_projection(left: DataFrame, right: DataFrame, on: Column, columns:
     size, and adaptive execution splits a left key that holds many rows.
     """
     return left.join(right, on, "left").select(*columns)
-
-
-def bound_filter(df: DataFrame, **values) -> DataFrame:
-    """Rows whose named columns equal the given values."""
-    for name, value in values.items():
-        df = df.where(F.col(name) == F.lit(value))
-    return df
