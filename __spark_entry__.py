@@ -397,7 +397,9 @@ def stream_append_events(spark, sf_dir):
         primary_key="event_id", row_key=("event_id",))
     schema = _load(spark, sf_dir, "events").schema
     # A pattern, as the table may be one file, which a stream does not take by its name.
-    rows = spark.readStream.schema(schema).parquet(f"{sf_dir}/events.parque*")
+    # Batches are bounded, so that one which fails does not start over with everything.
+    reader = spark.readStream.schema(schema).option("maxBytesPerTrigger", 4 << 40)
+    rows = reader.parquet(f"{sf_dir}/events.parque*")
     checkpoint = workspace.fresh_folder(spark)
     for _ in range(2):  # the second call finds nothing new
         stream_append(rows, spec, checkpoint).awaitTermination()

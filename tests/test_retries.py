@@ -1,4 +1,4 @@
-"""Loads whose tasks fail and are run again, in a session of its own that allows it."""
+"""Loads in sessions of their own: tasks that are run again, executors without the package."""
 
 import os
 import subprocess
@@ -52,3 +52,31 @@ def test_loads_are_whole_when_tasks_are_run_again(tmp_path):
         [sys.executable, "-c", SCRIPT, str(tmp_path)], cwd=tmp_path, env={**os.environ, "PYTHONPATH": root},
         capture_output=True, text=True, timeout=600)
     assert run.returncode == 0 and "all loads whole" in run.stdout, run.stderr[-3000:]
+
+
+ELSEWHERE = '''
+import sys
+sys.path.insert(0, sys.argv[2])  # in the driver only
+from pyspark.sql import SparkSession
+from tidemark import TransferSpec, table_stats, transfer
+from tidemark.operators.workspace import fresh_database
+
+spark = (
+    SparkSession.builder.master("local[2]").config("spark.sql.shuffle.partitions", "2")
+    .config("spark.checkpoint.dir", sys.argv[1]).config("spark.ui.enabled", "false")
+    .config("spark.ui.showConsoleProgress", "false").getOrCreate())
+database = fresh_database(spark)
+transfer(spark, TransferSpec(alias="t", database=database, query="select id from range(100)"))
+row = table_stats(spark, [f"{database}.t"]).first()
+assert row.rows == 100 and row.compression_ratio > 0, row
+print("statistics found")
+'''
+
+
+def test_executors_need_no_copy_of_the_package(tmp_path):
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    run = subprocess.run(
+        [sys.executable, "-c", ELSEWHERE, str(tmp_path), root], cwd=tmp_path, env=env,
+        capture_output=True, text=True, timeout=600)
+    assert run.returncode == 0 and "statistics found" in run.stdout, run.stderr[-3000:]

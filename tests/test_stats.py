@@ -107,6 +107,14 @@ def test_columns_are_listed_with_their_sizes(spark, tables):
     assert set(got) == set(spark.table(tables["orders"]).columns) and all(n > 0 for n in got.values())
 
 
+def test_column_sizes_can_be_left_out(spark, tables, data):
+    frame = table_stats(spark, [tables["orders"]], column_sizes=False)
+    assert "Python" not in frame._jdf.queryExecution().executedPlan().toString()
+    row = frame.first()
+    assert row.rows == spark.read.parquet(f"{data}/orders.parquet").count()
+    assert row.disk_size > 0 and row.compressed_size is None and row.compression_ratio is None
+
+
 def test_unknown_tables_are_named(spark, database):
     with pytest.raises(Exception, match="no_such"):
         table_stats(spark, [f"{database}.no_such"])

@@ -433,3 +433,19 @@ def test_created_table_has_the_layout(spark, database):
         layout=Layout(partition_by=("day",)))
     assert transfer(spark, spec).rows == 1
     assert transfer(spark, spec).rows == 0
+
+
+def test_a_refresh_from_itself_merges_small_files(spark, database):
+    spec = TransferSpec(
+        alias="t", database=database, primary_key="id", range_clause=lambda mark: F.col("id") > mark,
+        frame=lambda s: s.range(5))
+    for top in range(5, 30, 5):
+        transfer(spark, replace(spec, frame=lambda s, top=top: s.range(0, top, 1, 4)))
+    live = names_of(spark, spec).live
+    file = F.col("_metadata.file_path")
+    assert spark.table(live).select(file).distinct().count() > 4
+    merged = replace(spec, frame=lambda s: s.table(live), layout=Layout(spread_by=("id",)))
+    assert transfer(spark, merged, force_refresh=True).rows == 25
+    assert spark.table(live).select(file).distinct().count() == 1
+    assert [r.id for r in spark.table(live).orderBy("id").collect()] == list(range(25))
+    assert transfer(spark, replace(spec, frame=lambda s: s.range(30))).rows == 5

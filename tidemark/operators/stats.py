@@ -3,10 +3,9 @@
 from __future__ import annotations
 
 import functools
-from collections import defaultdict
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
+from typing import TYPE_CHECKING
 
-import pandas as pd
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
@@ -15,6 +14,9 @@ from tidemark.functions.measures import compression_ratio
 from tidemark.operators.catalog import existing, table_detail
 from tidemark.operators.mark import metadata_session
 
+if TYPE_CHECKING:
+    import pandas as pd
+
 PARTS_SCHEMA = (
     "database string, table string, active boolean, rows bigint, modification_time timestamp, "
     "bytes bigint, primary_key_bytes_in_memory bigint, engine string"
@@ -133,29 +135,41 @@ def file_parts(spark: SparkSession, tables: Iterable[str]) -> DataFrame:
     return _union(frames)
 
 
-def _read_footers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Column sizes of a batch of files, from their footers; a row per table and column."""
-    import pyarrow.fs
-    import pyarrow.parquet
-
-    for batch in batches:
-        sizes = defaultdict(lambda: [0, 0])
-        for database, table, path in batch.itertuples(index=False):
-            scheme, _, rest = path.partition(":")
-            uri = {"s3a": "s3", "s3n": "s3"}.get(scheme, scheme) + "://" + "/" * (scheme == "file") + rest.lstrip("/")
-            files, inner = pyarrow.fs.FileSystem.from_uri(uri)
-            with files.open_input_file(inner) as handle:
-                footer = pyarrow.parquet.read_metadata(handle)
-            for g in range(footer.num_row_groups):
-                group = footer.row_group(g)
-                for c in range(group.num_columns):
-                    chunk = group.column(c)
-                    size = sizes[database, table, chunk.path_in_schema.partition(".")[0]]
-                    size[0] += chunk.total_compressed_size
-                    size[1] += chunk.total_uncompressed_size
-        yield pd.DataFrame(
-            [(*key, *size) for key, size in sizes.items()],
-            columns=["database", "table", "column", "data_compressed_bytes", "data_uncompressed_bytes"])
+def _footer_reader() -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+    """The task that reads footers: column sizes of a batch of files, a row per table and column.
+
+    It is an inner function so that it is sent to executors whole; they need
+    pyarrow and pandas, but not this package.
+    """
+
+    def read(batches):
+        from collections import defaultdict
+
+        import pandas
+        import pyarrow.fs
+        import pyarrow.parquet
+
+        for batch in batches:
+            sizes = defaultdict(lambda: [0, 0])
+            for database, table, path in batch.itertuples(index=False):
+                scheme, _, rest = path.partition(":")
+                scheme = {"s3a": "s3", "s3n": "s3"}.get(scheme, scheme)
+                uri = scheme + "://" + "/" * (scheme == "file") + rest.lstrip("/")
+                files, inner = pyarrow.fs.FileSystem.from_uri(uri)
+                with files.open_input_file(inner) as handle:
+                    footer = pyarrow.parquet.read_metadata(handle)
+                for g in range(footer.num_row_groups):
+                    group = footer.row_group(g)
+                    for c in range(group.num_columns):
+                        chunk = group.column(c)
+                        size = sizes[database, table, chunk.path_in_schema.partition(".")[0]]
+                        size[0] += chunk.total_compressed_size
+                        size[1] += chunk.total_uncompressed_size
+            yield pandas.DataFrame(
+                [(*key, *size) for key, size in sizes.items()],
+                columns=["database", "table", "column", "data_compressed_bytes", "data_uncompressed_bytes"])
+
+    return read
 
 
 def file_columns(spark: SparkSession, tables: Iterable[str]) -> DataFrame:
@@ -168,13 +182,18 @@ def file_columns(spark: SparkSession, tables: Iterable[str]) -> DataFrame:
     for name in existing(spark, tables):
         detail = table_detail(spark, name)
         frames.append(_files(session, detail["location"]).select(*_names(detail), "path"))
-    return _union(frames).mapInPandas(_read_footers, COLUMNS_SCHEMA)
+    return _union(frames).mapInPandas(_footer_reader(), COLUMNS_SCHEMA)
+
 
+def table_stats(spark: SparkSession, tables: Iterable[str], column_sizes: bool = True) -> DataFrame:
+    """Statistics of tables of the catalogue, a row per table that holds data.
 
-def table_stats(spark: SparkSession, tables: Iterable[str]) -> DataFrame:
-    """Statistics of tables of the catalogue, a row per table that holds data."""
+    Without ``column_sizes`` no footer is opened from Python, and compressed and
+    uncompressed sizes stay empty.
+    """
     tables = list(tables)
-    return storage_stats(file_parts(spark, tables), file_columns(spark, tables))
+    columns = file_columns(spark, tables) if column_sizes else spark.createDataFrame([], COLUMNS_SCHEMA)
+    return storage_stats(file_parts(spark, tables), columns)
 
 
 def table_sizes(spark: SparkSession, tables: Iterable[str]) -> DataFrame:

@@ -17,7 +17,7 @@ from tidemark.operators.catalog import TableNames, field_of, quoted
 from tidemark.operators.layout import arrange
 from tidemark.operators.mark import Mark, high_water_mark, mark_texts
 from tidemark.plans.spec import TransferSpec
-from tidemark.sources.query import source_frame, source_view
+from tidemark.sources.query import source_view
 
 log = logging.getLogger(__name__)
 
