@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import catalog
 from tidemark.operators.catalog import TableNames
+from tidemark.operators.runlog import latest_success
 from tidemark.operators.workspace import fresh_folder
 from tidemark.plans.spec import Layout, TransferSpec
 from tidemark.streaming import append as module
@@ -121,7 +122,9 @@ def test_repeat_goes_on_after_a_failure(spark, database):
     spec = TransferSpec(
         alias="t", database=database, frame=frame, primary_key="id",
         range_clause=lambda mark: F.col("id") > mark, interval="1 second")
-    query = repeat_transfer(spark, spec, fresh_folder(spark), listener=results.append, on_error=errors.append)
+    run_log = f"{database}.runs"
+    query = repeat_transfer(
+        spark, spec, fresh_folder(spark), listener=results.append, on_error=errors.append, run_log=run_log)
     try:
         deadline = time.monotonic() + 60
         while len(results) < 2 and time.monotonic() < deadline:
@@ -129,11 +132,18 @@ def test_repeat_goes_on_after_a_failure(spark, database):
         spark.range(5, 8).write.insertInto(source)
         while sum(r.rows for r in results) < 8 and time.monotonic() < deadline:
             time.sleep(0.2)
+        while time.monotonic() < deadline and latest_success(spark.table(run_log)).first().last_run.rows > 3:
+            time.sleep(0.2)
     finally:
         query.stop()
-    assert [str(e) for e in errors] == ["source is away"]
+    assert str(errors[0]) == "source is away"
+    assert all("Interrupted" in str(e) for e in errors[1:])  # by the stop of the query, in a run without new rows
     assert results[0].mode == "refresh" and results[0].rows == 5
     assert [r.rows for r in results[1:] if r.rows] == [3]
+    spark.catalog.refreshTable(run_log)
+    logged = spark.table(run_log)
+    assert logged.where("status = 'failure' and message = 'source is away'").count() == 1
+    assert logged.agg(F.sum("rows")).first()[0] == 8
     assert ids(spark, spec) == list(range(8))
 
 

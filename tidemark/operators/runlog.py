@@ -86,18 +86,28 @@ def spec_frame(spark: SparkSession, specs: Iterable[TransferSpec]) -> DataFrame:
         "alias string, database string, primary_key string, incremental boolean, interval string"))
 
 
-def _run(spark, spec, listener, with_stats) -> tuple[tuple, Exception | None]:
+def logged_run(
+    spark: SparkSession,
+    spec: TransferSpec,
+    run_log: str | None = None,
+    listener: Callable[[TransferResult], None] | None = None,
+    with_stats: bool = False,
+) -> tuple[tuple, Exception | None]:
+    """Run a transfer and log it; returns its row and, if it failed, the error."""
     started = datetime.now(timezone.utc)
+    error = None
     try:
         result = transfer(spark, spec, listener)
-        stats = None
+        found = None
         if with_stats:
-            stats = table_stats(spark, [TableNames.of(spark, spec.alias, spec.database).live]).first()
-        return (result.alias, result.mode, result.started, result.ended, result.rows, SUCCESS,
-                result.mark, None, stats), None
-    except Exception as error:  # logged, and raised again by the caller
-        return (spec.alias, None, started, datetime.now(timezone.utc), None, FAILURE,
-                None, str(error)[:2000], None), error
+            found = table_stats(spark, [TableNames.of(spark, spec.alias, spec.database).live]).first()
+        run = (result.alias, result.mode, result.started, result.ended, result.rows, SUCCESS, result.mark, None, found)
+    except Exception as failure:  # given to the caller, which decides whether to go on
+        error = failure
+        run = (spec.alias, None, started, datetime.now(timezone.utc), None, FAILURE, None, str(failure), None)
+    if run_log is not None:
+        append_log(run_frame(spark, [run]), run_log)
+    return run, error
 
 
 def run_transfers(
@@ -128,10 +138,8 @@ def run_transfers(
         target = TableNames.of(spark, spec.alias, spec.database).live
         if own:
             apply_steps(spark, spec.alias, own, BEFORE, step_log, target)
-        run, error = _run(spark, spec, listener, with_stats)
+        run, error = logged_run(spark, spec, run_log, listener, with_stats)
         runs.append(run)
-        if run_log is not None:
-            append_log(run_frame(spark, [run]), run_log)
         if error is not None:
             raise error
         if own:

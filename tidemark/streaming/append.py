@@ -12,7 +12,8 @@ from pyspark.sql.streaming import StreamingQuery
 from tidemark.operators import catalog
 from tidemark.operators.catalog import TableNames, quoted
 from tidemark.operators.mark import low_mark
-from tidemark.operators.transfer import TransferResult, append_rows, transfer, without_present
+from tidemark.operators.runlog import logged_run
+from tidemark.operators.transfer import TransferResult, append_rows, without_present
 from tidemark.plans.spec import TransferSpec
 
 log = logging.getLogger(__name__)
@@ -32,7 +33,9 @@ def _batch_state(spark: SparkSession, table: str, key: str) -> tuple[int, bool]:
     return int(batch), state == "done"
 
 
-def stream_append(rows: DataFrame, spec: TransferSpec, checkpoint: str, query_name: str | None = None) -> StreamingQuery:
+def stream_append(
+    rows: DataFrame, spec: TransferSpec, checkpoint: str, query_name: str | None = None
+) -> StreamingQuery:
     """Append a stream to the target of a spec, each row once.
 
     With the spec's ``interval`` a batch is started at that pace, one at a time;
@@ -80,21 +83,23 @@ def repeat_transfer(
     checkpoint: str,
     listener: Callable[[TransferResult], None] | None = None,
     on_error: Callable[[Exception], None] | None = None,
+    run_log: str | None = None,
 ) -> StreamingQuery:
     """Repeat a transfer at the interval of its spec, until the query is stopped.
 
     For sources that cannot be read as a stream. The first run starts at once,
     runs never overlap, and one that fails is logged and tried again the next
-    time, from the mark of the target.
+    time, from the mark of the target. Every run is appended to ``run_log``.
+    Stopping the query interrupts a running load; what it may have published in
+    part, the next one completes by the spec's ``row_key``.
     """
     if not spec.interval:
         raise ValueError(f"{spec.alias}: no interval")
 
     def run(_: DataFrame, number: int) -> None:
-        try:
-            transfer(spark, spec, listener)
-        except Exception as error:
-            log.exception("%s: run %s failed", spec.alias, number)
+        _, error = logged_run(spark, spec, run_log, listener)
+        if error is not None:
+            log.error("%s: run %s failed", spec.alias, number, exc_info=error)
             if on_error is not None:
                 on_error(error)
 
