@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.plans.spec import JdbcSource, Layout, Step, TransferSpec, ordered_steps
+from tidemark.plans.spec import JdbcSource, Layout, Step, TransferSpec, ordered_steps, trigger_interval
 
 
 @pytest.mark.parametrize("bad", [
@@ -48,3 +48,11 @@ def test_duplicate_versions_and_lifecycles_are_refused():
         ordered_steps([Step("1", "a"), Step("1", "b")])
     with pytest.raises(ValueError):
         Step("1", "a", "during")
+
+
+@pytest.mark.parametrize("given, taken", [
+    ("30 seconds", "30 seconds"), ("PT30s", "30000 milliseconds"), ("PT1H5M", "3900000 milliseconds"),
+    ("P1DT0.5S", "86400500 milliseconds"), ("P", "P"),
+])
+def test_intervals(given, taken):
+    assert trigger_interval(given) == taken

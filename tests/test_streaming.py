@@ -121,7 +121,7 @@ def test_repeat_goes_on_after_a_failure(spark, database):
 
     spec = TransferSpec(
         alias="t", database=database, frame=frame, primary_key="id",
-        range_clause=lambda mark: F.col("id") > mark, interval="1 second")
+        range_clause=lambda mark: F.col("id") > mark, interval="PT1S")
     run_log = f"{database}.runs"
     query = repeat_transfer(
         spark, spec, fresh_folder(spark), listener=results.append, on_error=errors.append, run_log=run_log)

@@ -22,6 +22,7 @@ FAILURE = "failure"
 STATUSES = (START, SUCCESS, FAILURE)
 
 _NAME = re.compile(r"[A-Za-z_][A-Za-z0-9_]*")
+_DURATION = re.compile(r"P(?:(\d+)D)?(?:T(?:(\d+)H)?(?:(\d+)M)?(?:(\d+(?:\.\d+)?)S)?)?", re.IGNORECASE)
 
 
 def check_name(kind: str, name: str) -> str:
@@ -165,6 +166,16 @@ class Step:
             raise ValueError(f"step {self.version}: lifecycle must be one of {LIFECYCLES}")
 
 
+def trigger_interval(text: str) -> str:
+    """The interval of a spec as Spark's trigger takes it; an ISO duration such as ``PT30S`` is converted."""
+    found = _DURATION.fullmatch(text.strip())
+    if found is None or not any(found.groups()):
+        return text
+    days, hours, minutes, seconds = (float(part or 0) for part in found.groups())
+    total = ((days * 24 + hours) * 60 + minutes) * 60 + seconds
+    return f"{round(total * 1000)} milliseconds"
+
+
 def version_order(version: str) -> tuple:
     """Sort key that puts version 9 before version 10."""
     parts = re.split(r"(\d+)", version)

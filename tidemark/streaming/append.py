@@ -14,14 +14,16 @@ from tidemark.operators.catalog import TableNames, quoted
 from tidemark.operators.mark import low_mark
 from tidemark.operators.runlog import logged_run
 from tidemark.operators.transfer import TransferResult, append_rows, without_present
-from tidemark.plans.spec import TransferSpec
+from tidemark.plans.spec import TransferSpec, trigger_interval
 
 log = logging.getLogger(__name__)
 
 
 def _triggered(writer, interval: str | None):
     """At an interval, or once over all that is there."""
-    return writer.trigger(processingTime=interval) if interval else writer.trigger(availableNow=True)
+    if interval:
+        return writer.trigger(processingTime=trigger_interval(interval))
+    return writer.trigger(availableNow=True)
 
 
 def _batch_state(spark: SparkSession, table: str, key: str) -> tuple[int, bool]:
