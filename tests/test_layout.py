@@ -74,6 +74,28 @@ def test_partitions_and_spread(spark, database, data):
     assert spread.exceptAll(events).count() == 0 and spread.count() == events.count()
 
 
+@pytest.mark.parametrize("layout", [Layout(partition_by=("p",)), Layout(spread_by=("p",))])
+def test_hot_partition_is_split(spark, database, layout):
+    """A third of all rows has one value; several tasks write it."""
+    settings = {
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "500k",
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    }
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        rows = spark.range(0, 90_000, 1, 12).select(
+            "id", F.sha2(F.col("id").cast("string"), 256).alias("text"),
+            F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 7).cast("int").alias("p"))
+        table = loaded(spark, database, layout, rows)
+        hot = table.where("p = 0").select(F.col("_metadata.file_path").alias("f")).groupBy("f").count().collect()
+        assert len(hot) > 2 and max(r["count"] for r in hot) < 20_000
+        assert table.select("id", "text", "p").exceptAll(rows).count() == 0 and table.count() == 90_000
+    finally:
+        for key in settings:
+            spark.conf.unset(key)
+
+
 def test_row_groups_follow_the_option(spark, database):
     import glob
 
