@@ -406,7 +406,7 @@ def stream_append_events(spark, sf_dir):
     return _live(spark, spec)
 
 
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+def _own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "source_query": source_query,
         "left_join_projection": left_join_projection,
@@ -440,8 +440,32 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     }
 
 
+def _corpus():
+    """The queries for training data and the pipeline over them, if their subpackage is there."""
+    try:
+        import corpus_pipeline
+        from tidemark.llm import queries as corpus_queries
+    except ModuleNotFoundError as missing:
+        if missing.name in ("corpus_pipeline", "tidemark.llm"):
+            return None, None
+        raise
+    return corpus_queries, corpus_pipeline
+
+
+def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    corpus, pipeline = _corpus()
+    return _own_queries() | ({**corpus.queries(), "pipeline": pipeline.run} if corpus else {})
+
+
 def oracle_sql() -> dict[str, str]:
     """DuckDB statements of the same results, over views of the given tables."""
+    corpus, pipeline = _corpus()
+    if not corpus:
+        return _own_oracle_sql()
+    return _own_oracle_sql() | corpus.oracle_sql() | ({"pipeline": pipeline.ORACLE_SQL} if pipeline.ORACLE_SQL else {})
+
+
+def _own_oracle_sql() -> dict[str, str]:
     building = "(SELECT * FROM customer WHERE c_mktsegment = 'BUILDING') c"
     described = f"(SELECT * FROM orders LEFT JOIN {building} ON o_custkey = c_custkey)"
     schema_rows = " UNION ALL ".join(
