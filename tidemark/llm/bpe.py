@@ -12,7 +12,9 @@ from __future__ import annotations
 import hashlib
 import heapq
 import json
+import re
 from collections.abc import Iterable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -24,6 +26,11 @@ from tidemark.llm.words import blocks
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
 
+# The same for texts without numbers that are no decimal digits and without 0x1C to 0x1F.
+PLAIN = r"""'(?:[stmd]|re|ve|ll)| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]+|_+)+|\s+(?!\S)|\s+"""
+_CONTROL = re.compile(r"[\x1c-\x1f]").search
+
+
 def byte_characters() -> dict[int, str]:
     """The printable character that stands for each byte in such vocabularies: itself, or the next from U+0100 on."""
     shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
@@ -34,7 +41,7 @@ def byte_characters() -> dict[int, str]:
 class Bpe:
     """Merges and vocabulary; made on the driver from a file, sent to tasks as a broadcast."""
 
-    def __init__(self, path: str, cached: int = 200_000):
+    def __init__(self, path: str, cached: int = 300_000):
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
         vocab: dict[str, int] = spec["model"]["vocab"]
@@ -53,10 +60,11 @@ class Bpe:
             self.entries[i] = text.encode()
         self.cached = cached
         self.cache: dict[str, tuple[int, ...]] = {}
+        self.old: dict[str, tuple[int, ...]] = {}
         self._find = self._cut = None
 
     def __getstate__(self):
-        return self.__dict__ | {"cache": {}, "_find": None, "_cut": None}
+        return self.__dict__ | {"cache": {}, "old": {}, "_find": None, "_cut": None}
 
     def piece(self, text: str) -> tuple[int, ...]:
         """The ids of a piece, by merging."""
@@ -84,28 +92,39 @@ class Bpe:
                 heapq.heappush(heap, (found[0], h, ids[h], made, found[1]))
         return tuple(x for x in ids if x >= 0)
 
-    def encode(self, text: str) -> list[int]:
+    def _pieces(self, text: str) -> list[str]:
+        """Cut by the pattern. Without the characters on which they differ, the standard module gives the same, sooner."""
         if self._find is None:
             import regex
 
-            self._find = regex.compile(PATTERN).findall
-            names = "|".join(regex.escape(t) for t in sorted(self.special, key=len, reverse=True))
-            self._cut = regex.compile(f"({names})").split if names else lambda t: [t]
+            self._find = regex.compile(PATTERN).findall, regex.compile(r"[\p{Nl}\p{No}\x1c-\x1f]").search, re.compile(PLAIN).findall
+        exact, unlike, plain = self._find
+        return (plain if text.isascii() and not _CONTROL(text) or not unlike(text) else exact)(text)
+
+    def encode(self, text: str) -> list[int]:
+        if self._cut is None:
+            names = "|".join(re.escape(t) for t in sorted(self.special, key=len, reverse=True))
+            self._cut = re.compile(f"({names})").split if names else lambda t: [t]
         ids: list[int] = []
         cache = self.cache
-        for k, part in enumerate(self._cut(text)):
+        parts = self._cut(text) if any(t in text for t in self.special) else [text]
+        for k, part in enumerate(parts):
             if k % 2:
                 ids.append(self.special[part])
                 continue
-            for piece in self._find(part):
-                found = cache.get(piece)
-                if found is None:
-                    if len(cache) >= self.cached:
-                        cache.clear()
-                    found = self.piece(piece)
-                    if len(piece) <= 64:
-                        cache[piece] = found
-                ids += found
+            pieces = self._pieces(part)
+            found = list(map(cache.get, pieces))
+            if None in found:
+                if len(cache) >= self.cached:  # what is still in use moves from the old to the new
+                    self.old, self.cache = cache, {}
+                    cache = self.cache
+                for i, ready in enumerate(found):
+                    if ready is None:
+                        piece = pieces[i]
+                        found[i] = cache.get(piece) or self.old.get(piece) or self.piece(piece)
+                        if len(piece) <= 64:
+                            cache[piece] = found[i]
+            ids += chain.from_iterable(found)
         return ids
 
     def decode(self, ids: Iterable[int]) -> str:

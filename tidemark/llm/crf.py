@@ -2,7 +2,7 @@
 
 A position t has the score e[t] for state 1 against state 0, two neighbours the score
 trans[i, j]. Forward and backward messages are kept as the logarithm of their ratio. All
-chains advance together, one position a step, longest first.
+chains advance together, one position a step.
 """
 
 from __future__ import annotations
@@ -12,45 +12,63 @@ from dataclasses import dataclass, field
 import numpy as np
 
 
-def _pass(first: np.ndarray, lengths: np.ndarray, step) -> None:
-    """Call ``step(positions, t, k)`` for the k chains that reach position t, longest first."""
-    order = np.argsort(-lengths, kind="stable")
-    starts, sizes = first[order], lengths[order]
-    reach = len(sizes) - np.searchsorted(sizes[::-1], np.arange(1, (sizes[0] if len(sizes) else 0) + 1))
-    for t, k in enumerate(reach):
-        step(starts, t, k, sizes)
+def _forgotten(trans: np.ndarray, error: float = 1e-18) -> int:
+    """Steps after which a message no longer depends on where it began.
+
+    A step brings two messages closer by tanh(|t00 + t11 - t01 - t10| / 4) at least (Birkhoff's theorem).
+    """
+    rate = np.tanh(abs(trans[0, 0] + trans[1, 1] - trans[0, 1] - trans[1, 0]) / 4)
+    return 8 if rate < 1e-2 else int(np.ceil(np.log(error) / np.log(min(rate, 1 - 1e-9))))
+
+
+def _segments(first: np.ndarray, longest: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Chains cut into segments: start, end, and the chain of each."""
+    lengths = np.diff(first)
+    parts = -(-lengths // longest)
+    chain = np.repeat(np.arange(len(lengths)), parts)
+    number = np.arange(len(chain)) - np.repeat(np.cumsum(parts) - parts, parts)
+    start = first[:-1][chain] + number * longest
+    return start, np.minimum(start + longest, first[1:][chain]), chain
 
 
 def messages(e: np.ndarray, first: np.ndarray, trans: np.ndarray, start: float) -> tuple[np.ndarray, np.ndarray]:
     """Log ratios of the forward and the backward messages at each position.
 
-    ``first`` has the start of each chain and the end of the last; chains may be empty.
+    ``first`` has the start of each chain and the end of the last; chains may be empty. Long chains are
+    cut, and each segment is begun so far outside that its messages are those of the whole chain.
     """
-    lengths = np.diff(first)
     x = np.exp(trans)
+    before = _forgotten(trans)
+    lo, hi, chain = _segments(first, max(512, before))
+    begin = np.maximum(first[:-1][chain], lo - before)
+    end = np.minimum(first[1:][chain], hi + before)
     forward, backward = np.zeros(len(e)), np.zeros(len(e))
-    held = np.zeros(len(lengths))
 
-    def ahead(starts, t, k, sizes):
-        at = starts[:k] + t
+    def run(origin: np.ndarray, length: np.ndarray, sign: int, out: np.ndarray, step) -> None:
+        order = np.argsort(-length, kind="stable")
+        origin, low, high, length = origin[order], lo[order], hi[order], length[order]
+        reach = len(length) - np.searchsorted(length[::-1], np.arange(1, (length[0] if len(length) else 0) + 1))
+        held = np.zeros(len(length))
+        for t, k in enumerate(reach):
+            at = origin[:k] + sign * t
+            held = step(at, held[:k], t)
+            own = (at >= low[:k]) & (at < high[:k])
+            out[at[own]] = held[own]
+
+    def ahead(at, held, t):
         if t == 0:
-            held[:k] = start + e[at]
-        else:
-            r = np.exp(np.clip(held[:k], -60, 60))
-            held[:k] = e[at] + np.log((x[0, 1] + x[1, 1] * r) / (x[0, 0] + x[1, 0] * r))
-        forward[at] = held[:k]
-
-    def back(starts, t, k, sizes):
-        at = starts[:k] + sizes[:k] - 1 - t
+            return start + e[at]
+        r = np.exp(np.clip(held, -60, 60))
+        return e[at] + np.log((x[0, 1] + x[1, 1] * r) / (x[0, 0] + x[1, 0] * r))
+
+    def back(at, held, t):
         if t == 0:
-            held[:k] = 0
-        else:
-            r = np.exp(np.clip(held[:k] + e[at + 1], -60, 60))
-            held[:k] = np.log((x[1, 0] + x[1, 1] * r) / (x[0, 0] + x[0, 1] * r))
-        backward[at] = held[:k]
-
-    _pass(first[:-1], lengths, ahead)
-    _pass(first[:-1], lengths, back)
+            return np.zeros(len(at))
+        r = np.exp(np.clip(held + e[at + 1], -60, 60))
+        return np.log((x[1, 0] + x[1, 1] * r) / (x[0, 0] + x[0, 1] * r))
+
+    run(begin, hi - begin, 1, forward, ahead)
+    run(end - 1, end - lo, -1, backward, back)
     return forward, backward
 
 
@@ -81,12 +99,15 @@ class Crf:
 
 def fit(
     ids: list[np.ndarray], dense: np.ndarray, first: np.ndarray, y: np.ndarray, width: int, weights: np.ndarray,
-    steps: int = 40, rate: float = 0.5, ridge: float = 1e-6, model: Crf | None = None,
+    steps: int = 40, rate: float = 0.5, ridge: float = 1e-6, model: Crf | None = None, chained: bool = True,
+    keep: float = 1.0,
 ) -> Crf:
     """Maximise the likelihood of the labels ``y`` by adaptive gradient steps over all chains.
 
     The gradient of a feature is its expected count under the model (forward-backward)
-    less its count in the labels. ``weights`` is the weight of each position.
+    less its count in the labels. ``weights`` is the weight of each position. Without ``chained``
+    the transitions stay as they are. With ``keep`` below 1 each hashed feature is left out at random in each
+    step, so that none relies on the others.
     """
     model = model or Crf([np.zeros(width) for _ in ids], np.zeros(dense.shape[1]))
     n = max(1.0, weights.sum())
@@ -99,8 +120,14 @@ def fit(
     left = right - 1
     seen = np.zeros((2, 2))
     np.add.at(seen, (y[left], y[right]), weights[right])
+    rng = np.random.default_rng(1)
+    masks = [1.0] * len(ids)
     for _ in range(steps):
-        e = model.scores(ids, dense)
+        if keep < 1:
+            masks = [(rng.random(len(y), np.float32) < keep) / keep for _ in ids]
+        e = dense @ model.dense
+        for table, i, mask in zip(model.tables, ids, masks, strict=True):
+            e = e + table[i] * mask
         forward, backward = messages(e, first, model.trans, model.start)
         p = 1 / (1 + np.exp(-np.clip(forward + backward, -40, 40)))
         off = weights * (p - y) / n
@@ -111,9 +138,10 @@ def fit(
             model.trans[1, 0] + f, model.trans[1, 1] + f + later])
         joint = np.exp(joint - joint.max(0))
         joint /= joint.sum(0)
-        g = ((joint * weights[right]).sum(1).reshape(2, 2) - seen) / n + 1e-4 * model.trans
-        trans_sum += g * g
-        model.trans = model.trans - rate * g / np.sqrt(trans_sum)
+        if chained:
+            g = ((joint * weights[right]).sum(1).reshape(2, 2) - seen) / n + 1e-3 * model.trans
+            trans_sum += g * g
+            model.trans = model.trans - rate * g / np.sqrt(trans_sum)
         g = off[heads].sum()
         start_sum += g * g
         model.start -= rate * g / np.sqrt(start_sum)
@@ -121,7 +149,7 @@ def fit(
         dense_sum += g * g
         model.dense = model.dense - rate * g / np.sqrt(dense_sum)
         for k, i in enumerate(ids):
-            g = np.bincount(i, off, width) + ridge * model.tables[k]
+            g = np.bincount(i, off * masks[k], width) + ridge * model.tables[k]
             sums[k] += g * g
             model.tables[k] = model.tables[k] - rate * g / np.sqrt(sums[k])
     return model

@@ -56,7 +56,7 @@ def feature_ids(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     at = np.flatnonzero(inside)
     ids = ((x[at] * np.uint32(2654435761)) >> np.uint32(16)).astype(np.int64)
     words = Words.of(block)
-    core = words.core_hashes(block)
+    core = words.core_hashes(block)[0]
     some = core > 0
     word_ids = (mix(core[some], 5) % np.uint64(WHOLE)).astype(np.int64) + SUBWORDS
     place = np.concatenate([at, words.start[some]])

@@ -1,9 +1,9 @@
 """Toxic spans and document scores from a linear-chain conditional random field over words.
 
-Labels are given for documents. Words that occur in clearly more toxic documents than chance allows are
-labelled toxic inside those documents, every other word is not; on these labelled tokens the field is
-trained. Its features are hashes of the letters of a word (two tables, so that one collision is not enough)
-and of its neighbours. The marginals of forward and backward messages over a whole text give the toxic words,
+Labels are given for documents. Words, or beginnings of words, that occur in clearly more toxic documents than
+chance allows are labelled toxic inside those documents, every other word is not; on these labelled tokens the
+field is trained. Its features are hashes of the letters of a word (two tables), of its beginnings, so that
+inflected forms are known too, and of its neighbours; features are left out at random in training. The marginals of forward and backward messages over a whole text give the toxic words,
 joined to spans, and a document score: a logistic regression on the largest marginal and on the
 expected number of toxic words.
 
@@ -26,6 +26,7 @@ from tidemark.llm.scoring import scored
 from tidemark.llm.words import Block, Words, mix
 
 WIDTH = 1 << 18
+PREFIXES = (4, 5, 6, 7)  # bytes of a word's beginning
 
 
 @dataclass
@@ -34,24 +35,30 @@ class ToxicModel:
     beta: np.ndarray
 
 
-def features(block: Block, words: Words) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
-    """Hashed ids of each word (two of its own, before, after), dense features, and the hashes."""
-    core = words.core_hashes(block)
-    own = np.where(core > 0, mix(core, 11) % np.uint64(WIDTH - 1) + np.uint64(1), 0).astype(np.int64)
-    other = np.where(core > 0, mix(core, 12) % np.uint64(WIDTH - 1) + np.uint64(1), 0).astype(np.int64)
-    before, after = np.zeros(len(own), np.int64), np.zeros(len(own), np.int64)
+def features(block: Block, words: Words) -> tuple[list[np.ndarray], np.ndarray, list[np.ndarray]]:
+    """Hashed ids of each word, dense features, and the hashes of the word and its beginnings."""
+    hashes = words.core_hashes(block, PREFIXES)
+    ids = [_bucket(h, 11 + k) for k, h in enumerate([hashes[0], *hashes])]
+    own, before, after = ids[0], np.zeros(len(hashes[0]), np.int64), np.zeros(len(hashes[0]), np.int64)
     if len(own) > 1:
         same = words.text[1:] == words.text[:-1]
         before[1:] = np.where(same, own[:-1], 0)
         after[:-1] = np.where(same, own[1:], 0)
-    return [own, other, before, after], np.column_stack([np.ones(len(own)), core == 0]).astype(float), core
+    dense = np.column_stack([np.ones(len(own)), hashes[0] == 0]).astype(float)
+    return [*ids, before, after], dense, hashes
 
 
-def toxic_words(core: np.ndarray, text: np.ndarray, y: np.ndarray, least: float = 20.0, ratio: float = 8.0) -> np.ndarray:
-    """Hashes of words whose document frequency differs between the classes by a likelihood ratio of ``least``."""
-    pairs = np.unique(np.column_stack([text.astype(np.uint64), core]), axis=0)
-    names, inverse = np.unique(pairs[:, 1], return_inverse=True)
-    mark = y[pairs[:, 0].astype(np.int64)] == 1
+def _bucket(hashes: np.ndarray, salt: int) -> np.ndarray:
+    return np.where(hashes > 0, mix(hashes, salt) % np.uint64(WIDTH - 1) + np.uint64(1), 0).astype(np.int64)
+
+
+def toxic_words(
+    hashes: np.ndarray, text: np.ndarray, y: np.ndarray, least: float = 20.0, ratio: float = 8.0
+) -> np.ndarray:
+    """Hashes whose document frequency is ``ratio`` times higher in toxic texts, by a likelihood ratio of ``least``."""
+    _, first = np.unique(mix(hashes ^ mix(text.astype(np.uint64), 3), 4), return_index=True)  # once for each text
+    names, inverse = np.unique(hashes[first], return_inverse=True)
+    mark = y[text[first]] == 1
     a, b = np.bincount(inverse[mark], minlength=len(names)), np.bincount(inverse[~mark], minlength=len(names))
     na, nb = (y == 1).sum(), (y == 0).sum()
     p = (a + b) / (na + nb)
@@ -76,7 +83,7 @@ def marginal(model: ToxicModel, block: Block, words: Words) -> np.ndarray:
     return model.crf.marginals(ids, dense, words.first)
 
 
-def train(documents: DataFrame, labels: DataFrame, rows: int = 800, max_chars: int = 12_000, steps: int = 25) -> ToxicModel:
+def train(documents: DataFrame, labels: DataFrame, rows: int = 800, max_chars: int = 6000, steps: int = 30) -> ToxicModel:
     """Fit on about ``rows`` labelled documents of each class at most, none longer than ``max_chars``."""
     texts, y, weights = labelled_sample(documents, labels, "toxic", rows, max_chars)
     share = float((weights * y).sum() / max(1e-9, weights.sum())) if len(y) else 0.5
@@ -85,12 +92,14 @@ def train(documents: DataFrame, labels: DataFrame, rows: int = 800, max_chars: i
         return constant
     block = Block.of(texts)
     words = Words.of(block)
-    ids, dense, core = features(block, words)
-    bad = toxic_words(core, words.text, y)
-    marks = np.isin(core, bad) & (y[words.text] == 1)
+    ids, dense, hashes = features(block, words)
+    marks = np.zeros(len(words.start), bool)
+    for k, own in enumerate(hashes):  # a beginning must be clearer than a word
+        marks |= np.isin(own, toxic_words(own, words.text, y, ratio=8.0 if k == 0 else 20.0))
+    marks &= y[words.text] == 1
     if not marks.any():
         return constant
-    crf = fit(ids, dense, words.first, marks.astype(int), WIDTH, np.ones(len(marks)), steps=steps)
+    crf = fit(ids, dense, words.first, marks.astype(int), WIDTH, np.ones(len(marks)), steps=steps, keep=0.5)
     crf.tables = [t.astype(np.float32) for t in crf.tables]
     seen = document_features(crf.marginals(ids, dense, words.first), words)
     return ToxicModel(crf, fit_logistic(seen, y, weights))

@@ -107,15 +107,27 @@ class Words:
         np.cumsum(values * up[:-1], out=total[1:])
         return mix((total[self.end] - total[self.start]) * down[self.start])
 
-    def core_hashes(self, block: Block) -> np.ndarray:
-        """A hash of the lower-cased letters of each word, without what else it holds; 0: no letter."""
+    def core_hashes(self, block: Block, prefixes: tuple[int, ...] = ()) -> list[np.ndarray]:
+        """A hash of the lower-cased letters of each word, without what else it holds; 0: no letter.
+
+        For each length in ``prefixes`` also one of the first that many bytes of them; 0: the word has fewer.
+        """
         up, down = powers(len(block.data) + 1)
+        core = CORE[block.data]
         before = np.zeros(len(block.data) + 1, np.int64)
-        np.cumsum(CORE[block.data], out=before[1:])
+        np.cumsum(core, out=before[1:])
         total = np.zeros(len(block.data) + 1, np.uint64)
         np.cumsum(_CORE_VALUES[block.data] * up[before[:-1]], out=total[1:])
-        raw = (total[self.end] - total[self.start]) * down[before[self.start]]
-        return np.where(before[self.end] > before[self.start], mix(raw), 0).astype(np.uint64)
+        first = before[self.start]
+        letters = before[self.end] - first
+        base, scale = total[self.start], down[first]
+        made = [np.where(letters > 0, mix((total[self.end] - base) * scale), 0).astype(np.uint64)]
+        place = np.append(np.flatnonzero(core), 0)
+        for k in prefixes:
+            long = letters >= k
+            ends = place[np.where(long, first + k - 1, len(place) - 1)] + 1
+            made.append(np.where(long, mix((total[ends] - base) * scale, k), 0).astype(np.uint64))
+        return made
 
 
 def windows(words: Words, hashes: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
