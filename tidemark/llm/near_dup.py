@@ -9,9 +9,9 @@ all words as one run if they are fewer. Two documents are linked when 100 * inte
    smallest hash in a bucket is kept as the number of its leading zeros and the 10 bits that follow the
    first one. Empty buckets borrow from a filled one by an order that is the same for all documents.
 3. Registers are banded. In each bucket of a band, members are compared with its smallest id, then, where
-   members of several components remain, with its largest, then in tiles of all that remain.
-   No step emits the pairs of a group.
-4. Pairs are judged by the sketches first: Jaccard from equal registers, corrected for registers that
+   members of several components remain, with its largest, then in tiles of all that remain. A tile
+   compares sets in the task and gives only links between components; no step emits the pairs of a group.
+4. Pairs with a smallest or largest id are judged by the sketches first: Jaccard from equal registers, corrected for registers that
    are equal by chance. Only what is more than six deviations below the threshold is left out.
 5. What is left is confirmed on the full sets of both texts.
 
@@ -194,30 +194,71 @@ def _open_groups(bands: DataFrame, labels: DataFrame) -> DataFrame:
     return stored(named.join(mixed, "band", "left_semi"))
 
 
-def _residual(members: DataFrame, known: DataFrame, percent: int) -> DataFrame:
-    """Plausible pairs of different components in one bucket, found tile by tile."""
+def short_sets(documents: DataFrame, ids: DataFrame, width: int) -> DataFrame:
+    """id, n and the set with 32 bits of each hash, of the documents in ``ids``; equal shingles stay equal."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at, texts in blocks(as_bytes(batch.column("text"))):
+                sets = [(u >> np.uint64(32)).astype(np.uint32).view(np.int32) for u in shingle_sets(texts, width)]
+                ends = np.concatenate([[0], np.cumsum([len(s) for s in sets])])
+                yield pa.RecordBatch.from_arrays([
+                    batch.column("id").slice(at, len(texts)), pa.array(np.diff(ends)),
+                    pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(sets)))], ["id", "n", "shingles"])
+
+    kind = ids.schema["id"].dataType.simpleString()
+    return documents.select(F.col("doc_id").alias("id"), F.col("text").cast("string").alias("text")).join(
+        ids, "id", "left_semi").mapInArrow(run, f"id {kind}, n long, shingles array<int>")
+
+
+def common_counts(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, columns: int = 2048) -> np.ndarray:
+    """Sizes of the intersections of left x right, as products of membership matrices, some columns at a time."""
+    sizes = [len(s) for s in sets]
+    names, column, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    row = np.repeat(np.arange(len(sets)), sizes)
+    shared = count > 1  # a shingle of one set is in no intersection
+    number = np.cumsum(shared) - 1
+    row, column = row[shared[column]], number[column[shared[column]]]
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    out = np.zeros((len(left), len(right)), np.float32)
+    for at in range(0, int(shared.sum()), columns):
+        lo, hi = np.searchsorted(column, [at, at + columns])
+        part = np.zeros((len(sets), columns), np.float32)
+        part[row[lo:hi], column[lo:hi] - at] = 1
+        out += part[left] @ part[right].T
+    return out
+
+
+def _residual(members: DataFrame, documents: DataFrame, width: int, percent: int) -> DataFrame:
+    """Pairs that join the different components left in one bucket, found tile by tile.
+
+    Each tile compares whole sets by 32 bits of their hashes, which can only add to an intersection, and gives
+    no more pairs than it takes to join its rows; these are confirmed like all others.
+    """
     # Buckets of the same members need one look.
     same = members.groupBy("band").agg(
         F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("id") % (1 << 40)).alias("h"), F.min("id").alias("m"))
     one = same.groupBy("n", "h", "m").agg(F.min("band").alias("band"))
-    rows = members.join(one.select("band"), "band", "left_semi").join(
-        known.select("id", "n", "registers"), "id")
-    kind = known.schema["id"].dataType.simpleString()
-
-    def compare(pdf: pd.DataFrame, pick_left: np.ndarray, pick_right: np.ndarray) -> pd.DataFrame:
-        regs = np.frombuffer(b"".join(pdf["registers"]), np.uint16).reshape(-1, BUCKETS)
-        n, comp, ids = pdf["n"].to_numpy(float), pdf["component"].to_numpy(), pdf["id"].to_numpy()
-        a, b = [], []
-        for i in pick_left:
-            j = pick_right[(comp[pick_right] != comp[i])]
-            j = j[100 * np.minimum(n[j], n[i]) >= percent * np.maximum(n[j], n[i])]
-            if len(j):
-                ok = plausible((regs[j] == regs[i]).sum(axis=1), n[j], np.full(len(j), n[i]), percent)
-                a += [min(x, ids[i]) for x in ids[j[ok]]]
-                b += [max(x, ids[i]) for x in ids[j[ok]]]
-        return pd.DataFrame({"a": pd.Series(a, dtype=ids.dtype), "b": pd.Series(b, dtype=ids.dtype)})
-
-    return tiled(rows, ["band"], compare, f"a {kind}, b {kind}", rows_per_tile=1024).distinct()
+    sets = short_sets(documents, members.select("id").distinct(), width)
+    rows = members.join(one.select("band"), "band", "left_semi").join(sets, "id")
+    kind = members.schema["id"].dataType.simpleString()
+
+    def compare(pdf: pd.DataFrame, left: np.ndarray, right: np.ndarray) -> pd.DataFrame:
+        ids, n, comp = pdf["id"].to_numpy(), pdf["n"].to_numpy(float), pdf["component"].to_numpy()
+        made = []
+        if len(np.unique(comp)) > 1:
+            common = common_counts(pdf["shingles"].tolist(), left, right)
+            union = n[left][:, None] + n[right][None, :] - common
+            i, j = np.nonzero((100 * common >= percent * union) & (comp[left][:, None] != comp[right][None, :]))
+            names, root = np.unique(comp, return_inverse=True)
+            for x, y in zip(left[i].tolist(), right[j].tolist(), strict=True):
+                if root[x] != root[y]:
+                    root[root == root[y]] = root[x]
+                    made.append((min(ids[x], ids[y]), max(ids[x], ids[y])))
+        return pd.DataFrame(made, columns=["a", "b"], dtype=ids.dtype)
+
+    return tiled(rows, ["band"], compare, f"a {kind}, b {kind}", 512, "n").distinct()
 
 
 def linked(documents: DataFrame, width: int, percent: int) -> DataFrame:
@@ -246,7 +287,7 @@ def linked(documents: DataFrame, width: int, percent: int) -> DataFrame:
     labels = components(links.unionByName(more))
 
     open_ = _open_groups(open_.select("id", "band"), labels)
-    rest = stored(confirmed(stored(_residual(open_, known, percent)), documents, width, percent))
+    rest = stored(confirmed(stored(_residual(open_, documents, width, percent)), documents, width, percent))
     if not rest.isEmpty():
         labels = components(links.unionByName(more).unionByName(rest))
     return members.join(labels.withColumnRenamed("id", "rep"), "rep", "left").select(

@@ -11,16 +11,19 @@ from pyspark.sql import DataFrame, functions as F
 
 def tiled(
     rows: DataFrame, key: list[str], compare: Callable[[pd.DataFrame, np.ndarray, np.ndarray], pd.DataFrame],
-    schema: str, rows_per_tile: int = 1024,
+    schema: str, rows_per_tile: int = 1024, weight: str | None = None, weight_per_tile: int = 4 << 20,
 ) -> DataFrame:
     """Call ``compare(rows, left, right)`` so that each two rows of a group meet.
 
-    A group is dealt into tiles of about ``rows_per_tile`` rows by a hash of ``id``; a task holds two
-    tiles. Rows of different tiles meet once; for the meeting of a tile with itself, left and right are
+    A group is dealt into tiles of about ``rows_per_tile`` rows by a hash of ``id``, or of that sum of the
+    column ``weight`` if it asks for more tiles; a task holds two tiles. Rows of different tiles meet once; for the meeting of a tile with itself, left and right are
     both all of it.
     """
     names = rows.columns
-    counts = rows.groupBy(*key).agg(F.ceil(F.count(F.lit(1)) / rows_per_tile).cast("int").alias("_tiles"))
+    tiles = F.ceil(F.count(F.lit(1)) / rows_per_tile)
+    if weight:
+        tiles = F.greatest(tiles, F.ceil(F.sum(weight) / weight_per_tile))
+    counts = rows.groupBy(*key).agg(tiles.cast("int").alias("_tiles"))
     dealt = rows.join(counts, key).withColumn("_tile", F.pmod(F.xxhash64(F.col("id"), F.lit(3)), F.col("_tiles")).cast("int"))
     met = dealt.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_tiles") - 1))).withColumn(
         "_lo", F.least("_tile", "_other")).withColumn("_hi", F.greatest("_tile", "_other"))
