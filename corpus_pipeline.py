@@ -16,25 +16,19 @@ from tidemark.llm.store import stored
 LEAST_QUALITY = 0.5
 
 
-def _only(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose id is in ``ids``; each row stays as often as it was there."""
-    return docs.join(ids.select(F.col("doc_id").alias("_id")).distinct(), F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
-
-
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is recognised; those without a letter, or of an unsure language, go."""
-    model = language.train(_documents(spark, sf_dir))
-    return _only(docs, language.identify(docs, model).where("NOT rejected"))
+    return language.recognised(docs, language.train(_documents(spark, sf_dir)))
 
 
 def classify_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that score as good; the others go."""
     model = line_quality.train(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return _only(docs, line_quality.score_quality(docs, model).where(F.col("score") >= LEAST_QUALITY))
+    return line_quality.good(docs, model, LEAST_QUALITY)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -17,10 +17,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from tidemark.llm.sampling import even_sample, remainder
-from tidemark.llm.scoring import scored
+from tidemark.llm.scoring import kept, scored
 from tidemark.llm.words import Block, Words, mix
 
 SUBWORDS, WHOLE = 1 << 16, 1 << 16
@@ -169,3 +170,8 @@ def judge(model: LanguageModel, texts: list[bytes]) -> list[pa.Array]:
 def identify(documents: DataFrame, model: LanguageModel) -> DataFrame:
     """doc_id, lang_pred, score, rejected."""
     return scored(documents, model, judge, "lang_pred string, score double, rejected boolean")
+
+
+def recognised(documents: DataFrame, model: LanguageModel) -> DataFrame:
+    """The documents that are not rejected."""
+    return kept(documents, model, judge, lambda found: pc.invert(found[2]))

@@ -17,11 +17,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
 from tidemark.llm.crf import Crf, fit
 from tidemark.llm.sampling import fit_logistic, labelled_sample, logistic
-from tidemark.llm.scoring import scored
+from tidemark.llm.scoring import kept, scored
 from tidemark.llm.words import Block, Words
 
 KINDS = 9
@@ -120,3 +121,8 @@ def judge(model: LineModel, texts: list[bytes]) -> list[pa.Array]:
 def score_quality(documents: DataFrame, model: LineModel) -> DataFrame:
     """doc_id, score, and ``lines``: the probability that a line is good, for each line with a word."""
     return scored(documents, model, judge, "score double, lines array<double>")
+
+
+def good(documents: DataFrame, model: LineModel, least: float = 0.5) -> DataFrame:
+    """The documents that score ``least`` or more."""
+    return kept(documents, model, judge, lambda found: pc.greater_equal(found[0], least))

@@ -25,3 +25,18 @@ def scored(documents: DataFrame, model: object, judge: Callable[[object, list[by
 
     kind = documents.schema["doc_id"].dataType.simpleString()
     return documents.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(run, f"doc_id {kind}, {columns}")
+
+
+def kept(
+    documents: DataFrame, model: object, judge: Callable[[object, list[bytes]], list[pa.Array]],
+    decide: Callable[[list[pa.Array]], pa.Array],
+) -> DataFrame:
+    """The rows of ``documents``, with all their columns, that ``decide`` keeps by what ``judge`` gives."""
+    sent = documents.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at, texts in blocks(as_bytes(batch.column("text"))):
+                yield batch.slice(at, len(texts)).filter(decide(judge(sent.value, texts)))
+
+    return documents.mapInArrow(run, documents.schema)
