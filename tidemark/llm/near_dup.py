@@ -30,6 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from tidemark.llm.components import components
+from tidemark.llm.prefilter import only, without
 from tidemark.llm.store import stored
 from tidemark.llm.tiles import tiled
 from tidemark.llm.words import Block, Words, as_bytes, blocks, mix, whole, windows
@@ -37,6 +38,7 @@ from tidemark.llm.words import Block, Words, as_bytes, blocks, mix, whole, windo
 BUCKET_BITS = 8
 BUCKETS = 1 << BUCKET_BITS
 MANTISSA = 10
+BLOCK = 1 << 18  # bytes of text handled at once
 _PROBES = np.argsort(np.random.default_rng(5).random((BUCKETS, BUCKETS)), axis=1).astype(np.int64)
 _RANKS = np.argsort(_PROBES, axis=1)  # [bucket, source] -> when the source is asked
 
@@ -122,7 +124,7 @@ def sketches(documents: DataFrame, width: int, percent: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch.column("doc_id")
-            for at, texts in blocks(as_bytes(batch.column("text"))):
+            for at, texts in blocks(as_bytes(batch.column("text")), BLOCK):
                 counts, digests, held, hashed = [], [], [], []
                 for unique in shingle_sets(texts, width):
                     n = len(unique)
@@ -167,7 +169,8 @@ def confirmed(pairs: DataFrame, documents: DataFrame, width: int, percent: int)
     """Pairs (a, b) that are linked by the full sets of their texts."""
     texts = documents.select(F.col("doc_id").alias("id"), F.col("text").cast("string").alias("text"))
     need = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
-    texts = texts.join(need, "id", "left_semi")
+    # Else the join moves all texts. Written, so that no task runs two Python functions at once.
+    texts = stored(only(texts, "id", need))
     both = pairs.join(texts.select(F.col("id").alias("a"), F.col("text").alias("ta")), "a").join(
         texts.select(F.col("id").alias("b"), F.col("text").alias("tb")), "b")
 
@@ -175,9 +178,9 @@ def confirmed(pairs: DataFrame, documents: DataFrame, width: int, percent: int)
         for batch in batches:
             ta, tb = as_bytes(batch.column("ta")), as_bytes(batch.column("tb"))
             keep = np.zeros(len(ta), bool)
-            for at, run_ in blocks(ta):
+            for at, run_ in blocks(ta, BLOCK):
                 mine = shingle_sets(run_, width)
-                other = (s for _, t in blocks(tb[at:at + len(run_)]) for s in shingle_sets(t, width))
+                other = (s for _, t in blocks(tb[at:at + len(run_)], BLOCK) for s in shingle_sets(t, width))
                 for i, (x, y) in enumerate(zip(mine, other, strict=True)):
                     common = len(np.intersect1d(x, y, assume_unique=True))
                     keep[at + i] = 100 * common >= percent * (len(x) + len(y) - common) and len(x) > 0
@@ -199,7 +202,7 @@ def short_sets(documents: DataFrame, ids: DataFrame, width: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at, texts in blocks(as_bytes(batch.column("text"))):
+            for at, texts in blocks(as_bytes(batch.column("text")), BLOCK):
                 sets = [(u >> np.uint64(32)).astype(np.uint32).view(np.int32) for u in shingle_sets(texts, width)]
                 ends = np.concatenate([[0], np.cumsum([len(s) for s in sets])])
                 yield pa.RecordBatch.from_arrays([
@@ -207,8 +210,8 @@ def short_sets(documents: DataFrame, ids: DataFrame, width: int) -> DataFrame:
                     pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(sets)))], ["id", "n", "shingles"])
 
     kind = ids.schema["id"].dataType.simpleString()
-    return documents.select(F.col("doc_id").alias("id"), F.col("text").cast("string").alias("text")).join(
-        ids, "id", "left_semi").mapInArrow(run, f"id {kind}, n long, shingles array<int>")
+    texts = documents.select(F.col("doc_id").alias("id"), F.col("text").cast("string").alias("text"))
+    return stored(only(texts, "id", ids)).mapInArrow(run, f"id {kind}, n long, shingles array<int>")
 
 
 def common_counts(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, columns: int = 2048) -> np.ndarray:
@@ -304,7 +307,5 @@ def near_duplicates(documents: DataFrame, width: int = 5, percent: int = 80) ->
 
 def without_near_duplicates(documents: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """The documents with one of each component left: all rows of its smallest id, once each."""
-    kept = near_duplicates(documents, width, percent).where("kept")
-    ids = kept.where("doc_id IS NOT NULL").select("doc_id").distinct()
-    named = documents.join(ids, "doc_id", "left_semi").select(*(F.col(f"`{c}`") for c in documents.columns))
-    return named.unionByName(documents.where("doc_id IS NULL"))
+    found = near_duplicates(documents, width, percent)
+    return without(documents, "doc_id", stored(found.where("NOT kept").select("doc_id").distinct()))
