@@ -41,7 +41,7 @@ def byte_characters() -> dict[int, str]:
 class Bpe:
     """Merges and vocabulary; made on the driver from a file, sent to tasks as a broadcast."""
 
-    def __init__(self, path: str, cached: int = 300_000):
+    def __init__(self, path: str, cached: int = 150_000):
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
         vocab: dict[str, int] = spec["model"]["vocab"]
@@ -140,8 +140,7 @@ def encoded(documents: DataFrame, path: str, text: str = "text") -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = sent.value
         for batch in batches:
-            texts = batch.column(text).cast(pa.binary()).to_pylist()
-            for at, part in blocks([t or b"" for t in texts], 4 << 20):
+            for at, part in blocks(batch.column(text), 1 << 20):
                 flat, ends = [], [0]
                 for t in part:
                     flat += model.encode(t.decode("utf-8", "replace"))
@@ -149,6 +148,7 @@ def encoded(documents: DataFrame, path: str, text: str = "text") -> DataFrame:
                 ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.array(flat, np.int32)))
                 yield pa.RecordBatch.from_arrays(
                     [*(batch.column(f.name).slice(at, len(part)) for f in kept), ids], [*(f.name for f in kept), "ids"])
+        model.cache, model.old = {}, {}  # a worker lives longer than its task
 
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in kept), "ids array<int>"])
     return documents.select(*(f"`{f.name}`" for f in kept), documents[text].cast("string").alias(text)).mapInArrow(run, schema)
@@ -162,10 +162,10 @@ def decoded(rows: DataFrame, path: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = sent.value
         names = [str(i) for i in range(len(model.entries))]
-        for batch in batches:
+        for batch in (b.slice(at, 1000) for b in batches for at in range(0, len(b), 1000)):
             column = batch.column("ids")
-            ends = column.offsets.to_numpy()
-            flat = column.values.to_numpy()
+            ends = np.concatenate([[0], np.cumsum(column.value_lengths().fill_null(0).to_numpy())])
+            flat = column.flatten().to_numpy()
             texts, digests = [], []
             for a, b in zip(ends[:-1], ends[1:], strict=True):
                 ids = flat[a:b].tolist()

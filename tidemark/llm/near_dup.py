@@ -33,12 +33,11 @@ from tidemark.llm.components import components
 from tidemark.llm.prefilter import only, without
 from tidemark.llm.store import stored
 from tidemark.llm.tiles import tiled
-from tidemark.llm.words import Block, Words, as_bytes, blocks, mix, whole, windows
+from tidemark.llm.words import Block, Words, blocks, mix, whole, windows
 
 BUCKET_BITS = 8
 BUCKETS = 1 << BUCKET_BITS
 MANTISSA = 10
-BLOCK = 1 << 18  # bytes of text handled at once
 _PROBES = np.argsort(np.random.default_rng(5).random((BUCKETS, BUCKETS)), axis=1).astype(np.int64)
 _RANKS = np.argsort(_PROBES, axis=1)  # [bucket, source] -> when the source is asked
 
@@ -124,7 +123,7 @@ def sketches(documents: DataFrame, width: int, percent: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch.column("doc_id")
-            for at, texts in blocks(as_bytes(batch.column("text")), BLOCK):
+            for at, texts in blocks(batch.column("text")):
                 counts, digests, held, hashed = [], [], [], []
                 for unique in shingle_sets(texts, width):
                     n = len(unique)
@@ -176,11 +175,10 @@ def confirmed(pairs: DataFrame, documents: DataFrame, width: int, percent: int)
 
     def run(batches):
         for batch in batches:
-            ta, tb = as_bytes(batch.column("ta")), as_bytes(batch.column("tb"))
-            keep = np.zeros(len(ta), bool)
-            for at, run_ in blocks(ta, BLOCK):
-                mine = shingle_sets(run_, width)
-                other = (s for _, t in blocks(tb[at:at + len(run_)], BLOCK) for s in shingle_sets(t, width))
+            keep = np.zeros(len(batch), bool)
+            for at, texts_a in blocks(batch.column("ta")):
+                mine = shingle_sets(texts_a, width)
+                other = (s for _, t in blocks(batch.column("tb").slice(at, len(texts_a))) for s in shingle_sets(t, width))
                 for i, (x, y) in enumerate(zip(mine, other, strict=True)):
                     common = len(np.intersect1d(x, y, assume_unique=True))
                     keep[at + i] = 100 * common >= percent * (len(x) + len(y) - common) and len(x) > 0
@@ -202,7 +200,7 @@ def short_sets(documents: DataFrame, ids: DataFrame, width: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at, texts in blocks(as_bytes(batch.column("text")), BLOCK):
+            for at, texts in blocks(batch.column("text")):
                 sets = [(u >> np.uint64(32)).astype(np.uint32).view(np.int32) for u in shingle_sets(texts, width)]
                 ends = np.concatenate([[0], np.cumsum([len(s) for s in sets])])
                 yield pa.RecordBatch.from_arrays([

@@ -6,11 +6,12 @@ bytes other than space and 0x09 to 0x0D; these never occur inside a character of
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -149,21 +150,17 @@ def whole(words: Words, hashes: np.ndarray, text: int) -> np.ndarray:
     return mix(np.array([total], np.uint64), 1000 + len(row))
 
 
-def as_bytes(column: pa.Array) -> list[bytes]:
-    """The texts of a column in UTF-8; null becomes empty."""
+def blocks(column: pa.Array, size: int = 1 << 18) -> Iterator[tuple[int, list[bytes]]]:
+    """Runs of the texts of a column, of about ``size`` bytes together, with the index of the first; null is empty.
+
+    A longer text is alone. Only one run is held in Python at a time.
+    """
     if not pa.types.is_binary(column.type) and not pa.types.is_large_binary(column.type):
         column = column.cast(pa.large_binary() if pa.types.is_large_string(column.type) else pa.binary())
-    return [x or b"" for x in column.to_pylist()]
-
-
-def blocks(texts: Iterable[bytes], size: int = 1 << 20) -> Iterator[tuple[int, list[bytes]]]:
-    """Runs of texts of about ``size`` bytes together, with the index of the first; a longer text is alone."""
-    run, held, at, i = [], 0, 0, -1
-    for i, text in enumerate(texts):
-        if run and held + len(text) > size:
-            yield at, run
-            run, held, at = [], 0, i
-        run.append(text)
-        held += len(text) + 1
-    if run:
-        yield at, run
+    ends = np.cumsum(pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64) + 1)
+    at = 0
+    while at < len(column):
+        before = ends[at - 1] if at else 0
+        to = max(at + 1, int(np.searchsorted(ends, before + size, "right")))
+        yield at, [x or b"" for x in column.slice(at, to - at).to_pylist()]
+        at = to
