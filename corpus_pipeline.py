@@ -44,7 +44,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def encode_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, lang and source with the token ids of the text, their number, and whether they decode to it."""
     path = tokenizer_path()
-    rows = bpe.decoded(bpe.encoded(docs.select("doc_id", "lang", "source", F.crc32(F.coalesce("text", F.lit(""))).alias("crc"), "text"), path), path)
+    known = docs.select("doc_id", "lang", "source", F.crc32(F.coalesce("text", F.lit(""))).alias("crc"), "text")
+    rows = bpe.decoded(stored(bpe.encoded(known, path)), path)  # written, so that a task runs one Python function
     return rows.select(
         "doc_id", "lang", "source", "ids", F.size("ids").cast("long").alias("n_tokens"),
         (F.crc32("decoded") == F.col("crc")).alias("round_trip"))

@@ -41,7 +41,7 @@ def byte_characters() -> dict[int, str]:
 class Bpe:
     """Merges and vocabulary; made on the driver from a file, sent to tasks as a broadcast."""
 
-    def __init__(self, path: str, cached: int = 150_000):
+    def __init__(self, path: str, cached: int = 100_000):
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
         vocab: dict[str, int] = spec["model"]["vocab"]
