@@ -87,10 +87,11 @@ def source_schema(spark, sf_dir):
 
 
 def bound_filter(spark, sf_dir):
-    return spark.sql(
-        "SELECT l_orderkey, l_linenumber, l_quantity, l_shipdate "
-        f"FROM {_sql_name(sf_dir, 'lineitem')} WHERE l_returnflag = :flag AND l_linestatus = :status",
-        args={"flag": "R", "status": "F"})
+    spec = TransferSpec(
+        alias="returned_items", args={"flag": "R", "status": "F"},
+        query="SELECT l_orderkey, l_linenumber, l_quantity, l_shipdate "
+              f"FROM {_sql_name(sf_dir, 'lineitem')} WHERE l_returnflag = :flag AND l_linestatus = :status")
+    return source_frame(spark, spec)
 
 
 # ---- transfers -----------------------------------------------------------
@@ -162,6 +163,34 @@ def incremental_rescan(spark, sf_dir):
     return _live(spark, late)
 
 
+def incremental_lookback(spark, sf_dir):
+    """A target that misses events of its last three days; the range clause looks that far back."""
+    database = workspace.fresh_database(spark)
+    query = f"SELECT * FROM {_sql_name(sf_dir, 'events')}"
+    early = TransferSpec(
+        alias="events_copy", database=database,
+        query=f"{query} WHERE ts < TIMESTAMP_NTZ '2024-01-13 00:00:00' "
+              "OR (ts < TIMESTAMP_NTZ '2024-01-16 00:00:00' AND event_type <> 'purchase')")
+    transfer(spark, early)
+    late = TransferSpec(
+        alias="events_copy", database=database, query=query, primary_key="ts",
+        range_clause=lambda mark: F.col("ts") >= mark - F.expr("INTERVAL 4 DAYS"), row_key=("event_id",), rescan_ties=True)
+    transfer(spark, late)
+    return _live(spark, late)
+
+
+def incremental_text_key(spark, sf_dir):
+    """Pages by url; the name of the key is one that Spark hides in table properties."""
+    database = workspace.fresh_database(spark)
+    query = f"SELECT page_id, url FROM {_sql_name(sf_dir, 'pages')}"
+    first = TransferSpec(alias="pages_copy", database=database, query=f"{query} WHERE url < 'http://s'", primary_key="url")
+    transfer(spark, first)
+    rest = replace(first, query=query, range_clause="WHERE url > :max_primary_key")
+    transfer(spark, rest)
+    transfer(spark, rest)
+    return _live(spark, rest)
+
+
 def incremental_noop(spark, sf_dir):
     spec = _enriched(sf_dir, workspace.fresh_database(spark))
     first, second = transfer(spark, spec), transfer(spark, spec)
@@ -253,7 +282,9 @@ _LINEITEM_TYPES = [
     ("l_quantity", "decimal(12,2)", True),
     ("l_extendedprice", "decimal(15,2)", True),
     ("l_discount", "decimal(4,2)", True),
+    ("l_tax", "decimal(4,2)", True),
     ("l_returnflag", "char(1)", True),
+    ("l_linestatus", "char(1)", True),
     ("l_shipdate", "date", True),
 ]
 
@@ -418,6 +449,8 @@ def _own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "incremental_delta": incremental_delta,
         "incremental_append": incremental_append,
         "incremental_rescan": incremental_rescan,
+        "incremental_lookback": incremental_lookback,
+        "incremental_text_key": incremental_text_key,
         "incremental_noop": incremental_noop,
         "sorted_layout": sorted_layout,
         "partitioned_layout": partitioned_layout,
@@ -500,6 +533,8 @@ def _own_oracle_sql() -> dict[str, str]:
             "SELECT * FROM events WHERE ts > (SELECT max(ts) FROM events WHERE ts < TIMESTAMP '2024-01-16 00:00:00')",
         "incremental_append": "SELECT * FROM events",
         "incremental_rescan": "SELECT * FROM orders",
+        "incremental_lookback": "SELECT * FROM events",
+        "incremental_text_key": "SELECT page_id, url FROM pages",
         "incremental_noop":
             "SELECT count(*) AS first_rows, "
             "count(*) FILTER (WHERE o_orderdate > (SELECT max(o_orderdate) FROM orders)) AS second_rows, "
@@ -520,7 +555,7 @@ def _own_oracle_sql() -> dict[str, str]:
             "SELECT l_orderkey, l_partkey::BIGINT AS l_partkey, l_suppkey::INTEGER AS l_suppkey, "
             "l_linenumber::TINYINT AS l_linenumber, l_quantity::DECIMAL(12,2) AS l_quantity, "
             "l_extendedprice::DECIMAL(15,2) AS l_extendedprice, l_discount::DECIMAL(4,2) AS l_discount, "
-            "l_returnflag, l_shipdate::DATE AS l_shipdate FROM lineitem",
+            "l_tax::DECIMAL(4,2) AS l_tax, l_returnflag, l_linestatus, l_shipdate::DATE AS l_shipdate FROM lineitem",
         "conform_rejects":
             "SELECT o_orderkey, o_totalprice, concat_ws(',', "
             "CASE WHEN o_orderkey > 32767 THEN 'o_orderkey' END, "

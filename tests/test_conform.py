@@ -2,6 +2,7 @@ import datetime as dt
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 from pyspark.sql.types import ByteType, DateType, DecimalType, StructType, TimestampNTZType
 
 from tidemark.operators.conform import conform, rejects
@@ -14,8 +15,8 @@ def frame(spark, rows):
 
 
 def test_conform_casts_and_keeps_nulls(spark):
-    moment = dt.datetime(2024, 3, 1, 12, 30, 15, 123456)
-    out = conform(frame(spark, [(1, "2.50", moment, "x"), (None, None, None, None)]), SCHEMA)
+    moment = dt.datetime(2024, 3, 1)  # a time of day would be lost
+    out = conform(frame(spark, [(1, "2.50", moment, "x"), (None, None, None, None)]), SCHEMA, drop_unnamed=True)
     assert out.schema.simpleString() == "struct<id:tinyint,price:decimal(5,2),day:date>"
     assert [tuple(r) for r in out.collect()] == [(1, Decimal("2.50"), dt.date(2024, 3, 1)), (None, None, None)]
 
@@ -28,7 +29,7 @@ def test_conform_fails_by_name(spark, row, column, ansi):
     spark.conf.set("spark.sql.ansi.enabled", ansi)
     try:
         with pytest.raises(Exception, match=f"column {column} as .* cannot hold"):
-            conform(frame(spark, [row]), SCHEMA).collect()
+            conform(frame(spark, [row]), SCHEMA, drop_unnamed=True).collect()
     finally:
         spark.conf.set("spark.sql.ansi.enabled", before)
 
@@ -42,6 +43,24 @@ def test_rejects_lists_the_columns(spark):
 def test_truncate_seconds(spark):
     moment = dt.datetime(2024, 3, 1, 12, 30, 15, 123456)
     schema = StructType().add("day", TimestampNTZType())
-    kept = conform(frame(spark, [(1, "1", moment, "")]), schema).first()[0]
-    cut = conform(frame(spark, [(1, "1", moment, "")]), schema, truncate_seconds=True).first()[0]
+    kept = conform(frame(spark, [(1, "1", moment, "")]), schema, drop_unnamed=True).first()[0]
+    cut = conform(frame(spark, [(1, "1", moment, "")]), schema, truncate_seconds=True, drop_unnamed=True).first()[0]
     assert kept == moment and cut == moment.replace(microsecond=0)
+
+
+@pytest.mark.parametrize("value, kind, target", [
+    (1.9, "double", "int"), ("2024-01-01 13:00:00", "timestamp_ntz", "date"), (1e300, "double", "float")])
+def test_values_that_would_lose_something(spark, value, kind, target):
+    df = spark.range(1).select(F.lit(value).cast(kind).alias("c"))
+    schema = spark.range(0).select(F.lit(None).cast(target).alias("c")).schema
+    assert rejects(df, schema).first().rejected == ["c"]
+    with pytest.raises(Exception, match="cannot hold"):
+        conform(df, schema).collect()
+
+
+def test_columns_without_a_type(spark):
+    df = spark.range(1).withColumn("more", F.lit(1))
+    schema = spark.range(0).schema
+    with pytest.raises(ValueError, match="more"):
+        conform(df, schema)
+    assert conform(df, schema, drop_unnamed=True).columns == ["id"]

@@ -25,11 +25,11 @@ def ordered(rows):
 
 
 def test_every_query_but_the_sizes_has_sql():
-    assert set(entry.queries()) - set(entry.oracle_sql()) == {"table_sizes"}
+    assert set(entry._own_queries()) - set(entry._own_oracle_sql()) == {"table_sizes"}
     assert set(entry.oracle_sql()) <= set(entry.queries())
 
 
-@pytest.mark.parametrize("key", sorted(entry.oracle_sql()))
+@pytest.mark.parametrize("key", sorted(entry._own_oracle_sql()))
 def test_query_matches_its_sql(spark, oracle, data, key):
     frame = entry.queries()[key](spark, data)
     found = oracle.execute(entry.oracle_sql()[key])

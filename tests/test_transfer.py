@@ -246,10 +246,10 @@ def test_failed_append_is_tried_again(spark, salaries, monkeypatch):
 
 def test_source_view_is_dropped_also_after_a_failure(spark, salaries):
     transfer(spark, salaries)
-    assert not spark.catalog.tableExists("tmp_employees__source")
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("tmp_employees__source")]
     with pytest.raises(Exception):
         transfer(spark, replace(salaries, range_clause=None, query="select raise_error('no') as x"))
-    assert not spark.catalog.tableExists("tmp_employees__source")
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("tmp_employees__source")]
 
 
 def test_listener_hears_of_the_rows(spark, salaries):
@@ -449,3 +449,33 @@ def test_a_refresh_from_itself_merges_small_files(spark, database):
     assert spark.table(live).select(file).distinct().count() == 1
     assert [r.id for r in spark.table(live).orderBy("id").collect()] == list(range(25))
     assert transfer(spark, replace(spec, frame=lambda s: s.range(30))).rows == 5
+
+
+def test_look_back_brings_late_rows(spark, database):
+    def spec(rows, **more):
+        return TransferSpec(
+            alias="late", database=database, primary_key="id",
+            frame=lambda s: s.createDataFrame([(i,) for i in rows], "id long"), **more)
+
+    transfer(spark, spec([1, 2, 8, 9]))
+    look_back = {"range_clause": lambda mark: F.col("id") >= mark - 5, "row_key": ("id",), "rescan_ties": True}
+    assert transfer(spark, spec([1, 2, 7, 8, 9, 10], **look_back)).rows == 2
+    assert sorted(r.id for r in spark.table(f"{database}.late").collect()) == [1, 2, 7, 8, 9, 10]
+
+
+@pytest.mark.parametrize("key, values", [("url", ["a", "b"]), ("k", ["token-1", "token-2"])])
+def test_keys_that_look_like_secrets(spark, database, key, values):
+    def spec(rows):
+        return TransferSpec(
+            alias="secret", database=database, primary_key=key, range_clause=lambda mark: F.col(key) > mark,
+            frame=lambda s: s.createDataFrame([(v,) for v in rows], f"{key} string"))
+
+    transfer(spark, spec(values[:1]))
+    assert [transfer(spark, spec(values)).rows for _ in range(2)] == [1, 0]
+
+
+def test_mark_that_is_no_number(spark, database):
+    spec = TransferSpec(
+        alias="nan", database=database, primary_key="x", range_clause=lambda mark: F.col("x") > mark,
+        frame=lambda s: s.createDataFrame([(1.0,), (float("nan"),)], "x double"))
+    assert [transfer(spark, spec).rows for _ in range(2)] == [2, 0]

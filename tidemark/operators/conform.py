@@ -3,14 +3,30 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql.types import DataType, StructField, StructType, TimestampNTZType, TimestampType
+from pyspark.sql.types import (
+    DataType, DateType, DecimalType, DoubleType, FloatType, FractionalType, IntegralType, NumericType, StructField,
+    StructType, TimestampNTZType, TimestampType)
 
 from tidemark.operators.catalog import quoted
 
 
-def _refused(field: StructField) -> Column:
+def _survives(source: DataType, field: StructField) -> Column:
+    """Whether a cast keeps the value: no fraction, time of day or finite number is lost. Decimals may be rounded."""
+    column, target = F.col(quoted(field.name)), field.dataType
+    cast = column.try_cast(target)
+    if isinstance(target, IntegralType) and isinstance(source, (FractionalType, DecimalType)):
+        return cast.cast(source) == column
+    if isinstance(target, DateType) and isinstance(source, (TimestampType, TimestampNTZType)):
+        return cast.cast(source) == column
+    if isinstance(target, (FloatType, DoubleType)) and isinstance(source, NumericType):
+        return F.abs(cast) != float("inf") if not isinstance(source, (FloatType, DoubleType)) else (
+            (F.abs(cast) != float("inf")) | (F.abs(column) == float("inf")))
+    return F.lit(True)
+
+
+def _refused(source: DataType, field: StructField) -> Column:
     column = F.col(quoted(field.name))
-    return column.isNotNull() & column.try_cast(field.dataType).isNull()
+    return column.isNotNull() & ~(column.try_cast(field.dataType).isNotNull() & F.coalesce(_survives(source, field), F.lit(False)))
 
 
 def _fitted(source: DataType, field: StructField) -> Column:
@@ -20,12 +36,19 @@ def _fitted(source: DataType, field: StructField) -> Column:
         return column
     message = F.concat(
         F.lit(f"column {field.name} as {field.dataType.simpleString()} cannot hold "), column.cast("string"))
-    failure = F.when(column.isNotNull(), F.raise_error(message).cast(field.dataType))
-    return F.coalesce(column.try_cast(field.dataType), failure)
+    failure = F.raise_error(message).cast(field.dataType)
+    return F.when(_refused(source, field), failure).otherwise(column.try_cast(field.dataType))
+
 
+def conform(df: DataFrame, schema: StructType, truncate_seconds: bool = False, drop_unnamed: bool = False) -> DataFrame:
+    """Select and cast the columns of ``schema``; a value that does not fit, or would lose something, fails the job.
 
-def conform(df: DataFrame, schema: StructType, truncate_seconds: bool = False) -> DataFrame:
-    """Select and cast the columns of ``schema``; a value that does not fit fails the job."""
+    Columns that ``schema`` does not name are refused, unless ``drop_unnamed``.
+    """
+    named = {field.name.lower() for field in schema.fields}
+    unnamed = [c for c in df.columns if c.lower() not in named]
+    if unnamed and not drop_unnamed:
+        raise ValueError(f"columns without a type: {', '.join(unnamed)}")
     columns = []
     for field in schema.fields:
         column = _fitted(df.schema[field.name].dataType, field)
@@ -38,5 +61,5 @@ def conform(df: DataFrame, schema: StructType, truncate_seconds: bool = False) -
 def rejects(df: DataFrame, schema: StructType) -> DataFrame:
     """Rows with a value that does not fit, with the names of those columns."""
     names = F.filter(
-        F.array(*(F.when(_refused(f), F.lit(f.name)) for f in schema.fields)), lambda name: name.isNotNull())
+        F.array(*(F.when(_refused(df.schema[f.name].dataType, f), F.lit(f.name)) for f in schema.fields)), lambda name: name.isNotNull())
     return df.withColumn("rejected", names).where(F.size("rejected") > 0)

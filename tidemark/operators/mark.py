@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Callable
 from dataclasses import dataclass, field
@@ -46,6 +47,8 @@ class Mark:
         if isinstance(self.type, T.TimestampType):
             moment = datetime(1970, 1, 1) + timedelta(microseconds=int(self.exact))
             return F.expr(f"TIMESTAMP'{moment.isoformat()}Z'")
+        if isinstance(self.type, (T.DoubleType, T.FloatType)) and not math.isfinite(float(self.exact)):
+            return F.lit(self.exact).cast(self.type)
         form = _LITERALS.get(type(self.type))
         if form is None:
             raise TypeError(f"no high-water mark over {self.type.simpleString()}")

@@ -127,7 +127,10 @@ def run_transfers(
     call.
     """
     wanted = None if names is None else set(names)
-    steps = steps or {}
+    specs, steps = list(specs), steps or {}
+    unknown = (wanted or set()) - {spec.alias for spec in specs}
+    if unknown:
+        raise ValueError(f"no transfers named {', '.join(sorted(unknown))}")
     if any(steps.values()) and step_log is None:
         raise ValueError("steps need a step_log table")
     runs = []

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from tidemark.operators import catalog
 from tidemark.operators.catalog import TableNames, field_of, quoted
 from tidemark.operators.layout import arrange
-from tidemark.operators.mark import Mark, high_water_mark, mark_texts
+from tidemark.operators.mark import Mark, high_water_mark, low_mark, mark_texts
 from tidemark.plans.spec import TransferSpec
 from tidemark.sources.query import source_view
 
@@ -55,14 +55,15 @@ class LoadState:
     def keep(self, spark: SparkSession, table: str, column: str) -> None:
         texts = [self.mark.value, self.mark.exact] if self.mark else None
         state = {"open": self.open, "column": column, "mark": texts}
-        catalog.set_properties(spark, table, {_STATE_PROPERTY: json.dumps(state)})
+        # Hex, as Spark hides values that look like secrets when it shows properties.
+        catalog.set_properties(spark, table, {_STATE_PROPERTY: json.dumps(state).encode().hex()})
 
     @classmethod
     def of(cls, spark: SparkSession, table: str, column: str) -> LoadState:
         kept = catalog.get_properties(spark, table).get(_STATE_PROPERTY)
         if kept is None:
             return cls()
-        state = json.loads(kept)
+        state = json.loads(bytes.fromhex(kept))
         if state["mark"] is None or state["column"] != column:
             return cls(state["open"])
         return cls(state["open"], Mark(*state["mark"], field_of(spark.table(table).schema, column).dataType))
@@ -157,9 +158,11 @@ def increment(spark: SparkSession, spec: TransferSpec, names: TableNames) -> tup
         if repair or spec.rescan_ties:
             spark.catalog.refreshTable(live)  # another session may have appended
             present = spark.table(live)
-            if mark is not None:
-                reached = F.col(quoted(spec.primary_key)) >= mark.literal()
-                df, present = df.where(reached), present.where(reached)
+            # The source is not cut: its range clause may look back further than the mark.
+            low = low_mark(df, spec.primary_key)
+            if low is not None:
+                key = F.col(quoted(spec.primary_key))
+                present = present.where((key >= low.literal()) | key.isNull())
             df = without_present(df, present, spec.row_key)
         rows, top = append_rows(spark, spec, live, df)
     LoadState(False, top or mark).keep(spark, live, spec.primary_key)

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -109,6 +109,8 @@ class TransferSpec:
 
     ``trust_mark`` takes the mark that the last load left, without a look at the
     rows. It suits targets that nothing but these transfers writes.
+
+    ``args`` are values for the named parameters of a SQL query.
     """
 
     alias: str
@@ -125,6 +127,7 @@ class TransferSpec:
     trust_mark: bool = False
     schema: StructType | None = None
     truncate_seconds: bool = False
+    args: Mapping[str, object] | None = None
 
     def __post_init__(self):
         check_name("alias", self.alias)
@@ -141,6 +144,8 @@ class TransferSpec:
                 raise ValueError(f"{self.alias}: a frame takes a function as range_clause")
             if self.jdbc is not None and f":{MARK_PARAMETER}" in self.range_clause:
                 raise ValueError(f"{self.alias}: a jdbc range clause takes {MARK_TEXT}, no parameter")
+        if self.args and (self.query is None or self.jdbc is not None):
+            raise ValueError(f"{self.alias}: args need a SQL query")
         if isinstance(self.row_key, str):
             raise TypeError("row_key takes a tuple of column names")
         if self.rescan_ties and not (self.row_key and self.incremental):

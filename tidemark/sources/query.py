@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
@@ -17,11 +18,11 @@ from tidemark.sources.jdbc import read_jdbc
 def source_frame(spark: SparkSession, spec: TransferSpec, mark: Mark | None = None) -> DataFrame:
     """The rows of the source; with a mark, those its range clause lets through."""
     clause = spec.range_clause if mark is not None else None
-    query, args = spec.query, {}
+    query, args = spec.query, dict(spec.args or {})
     if isinstance(clause, str):
         query = f"{query} {mark.put_into(clause)}"
         if f":{MARK_PARAMETER}" in clause:
-            args = {MARK_PARAMETER: mark.literal()}
+            args[MARK_PARAMETER] = mark.literal()
     if spec.frame is not None:
         df = spec.frame(spark)
     elif spec.jdbc is not None:
@@ -38,7 +39,7 @@ def source_frame(spark: SparkSession, spec: TransferSpec, mark: Mark | None = No
 @contextmanager
 def source_view(spark: SparkSession, spec: TransferSpec, mark: Mark | None = None) -> Iterator[str]:
     """The source relation under a name, for as long as the block runs."""
-    name = f"tmp_{spec.alias}__source"
+    name = f"tmp_{spec.alias}__source_{uuid.uuid4().hex[:12]}"  # other runs may have the same alias
     source_frame(spark, spec, mark).createOrReplaceTempView(name)
     try:
         yield name

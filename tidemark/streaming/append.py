@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import logging
-import zlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -50,17 +49,18 @@ def stream_append(
         raise ValueError(f"{spec.alias}: a streaming append needs a row_key")
     outer = rows.sparkSession
     names = TableNames.of(outer, spec.alias, spec.database)
-    key = f"tidemark.stream.{zlib.crc32(checkpoint.encode()):08x}"
     schema = rows.schema
 
     def write(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
+        # The id belongs to the checkpoint: a new one, also at an old path, has another.
+        key = f"tidemark.stream.{spark.sparkContext.getLocalProperty('sql.streaming.queryId')}"
         if not catalog.table_exists(spark, names.live):
             catalog.create_table(spark, names, schema, spec.layout)
         last, done = _batch_state(spark, names.live, key)
         if number < last or (number == last and done):
             return
-        if number == last:
+        if number == last or last < 0:  # cut off, or the first that this query writes
             spark.catalog.refreshTable(names.live)
             present = spark.table(names.live)
             low = low_mark(batch, spec.primary_key) if spec.primary_key else None
