@@ -1,5 +1,7 @@
 import time
 
+import shutil
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -150,3 +152,13 @@ def test_repeat_goes_on_after_a_failure(spark, database):
 def test_repeat_needs_an_interval(spark, database):
     with pytest.raises(ValueError, match="interval"):
         repeat_transfer(spark, TransferSpec(alias="t", query="select 1"), "x")
+
+
+def test_a_new_checkpoint_at_the_old_path(spark, feed, spec):
+    rows, add = feed
+    checkpoint = fresh_folder(spark)
+    once(rows, spec, checkpoint)
+    shutil.rmtree(checkpoint)
+    add(5, 8)
+    once(rows, spec, checkpoint)
+    assert ids(spark, spec) == list(range(8))

@@ -60,10 +60,12 @@ def stream_append(
         last, done = _batch_state(spark, names.live, key)
         if number < last or (number == last and done):
             return
-        if number == last or last < 0:  # cut off, or the first that this query writes
+        first = last < 0 and not spark.table(names.live).isEmpty()  # a new checkpoint on an old target
+        if number == last or first:
             spark.catalog.refreshTable(names.live)
             present = spark.table(names.live)
-            low = low_mark(batch, spec.primary_key) if spec.primary_key else None
+            # The first batch may hold all the target does, so its lowest key would bound nothing.
+            low = low_mark(batch, spec.primary_key) if spec.primary_key and not first else None
             if low is not None:
                 key_column = F.col(quoted(spec.primary_key))
                 present = present.where((key_column >= low.literal()) | key_column.isNull())
