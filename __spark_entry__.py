@@ -416,7 +416,10 @@ def table_stats(spark, sf_dir):
 
 
 def table_sizes(spark, sf_dir):
-    return stats.table_sizes(spark, _copies(spark, sf_dir)).select("table", "size")
+    names = _copies(spark, sf_dir)
+    known = stats.table_stats(spark, names, column_sizes=False).select("table", "disk_size")
+    return stats.table_sizes(spark, names).join(known, "table").select(
+        "table", (F.col("size") > 0).alias("stored"), (F.col("size") == F.col("disk_size")).alias("same_as_stats"))
 
 
 # ---- streams -------------------------------------------------------------
@@ -600,6 +603,9 @@ def _own_oracle_sql() -> dict[str, str]:
         "table_stats": " UNION ALL ".join(
             f"SELECT '{t}' AS \"table\", count(*) AS rows, 'parquet' AS engine, true AS stored, true AS has_ratio FROM {t}"
             for t in ("customer", "events", "lineitem", "orders")),
+        "table_sizes": " UNION ALL ".join(
+            f"SELECT '{t}' AS \"table\", count(*) > 0 AS stored, true AS same_as_stats FROM {t}"
+            for t in ("customer", "events", "lineitem", "orders")),
         "stream_append": "SELECT * FROM events",
     }
 

@@ -38,6 +38,13 @@ def test_ranged_files_do_not_overlap(spark, database, data, many_files):
     assert table.exceptAll(lineitem).count() == 0 and table.count() == lineitem.count()
 
 
+def test_number_of_ranges(spark, database):
+    rows = spark.range(0, 10_000, 1, 4).select(F.pmod(F.col("id") * 7919, 10_000).alias("k"))
+    ranges = file_ranges(loaded(spark, database, Layout(sort_by=("k",), ranged=True, ranges=23), rows), "k")
+    assert len(ranges) == 23 and sum(r[0] for r in ranges) == 10_000
+    assert all(one[2] < other[1] for one, other in zip(ranges, ranges[1:]))
+
+
 @pytest.mark.parametrize("copies", [False, True])
 def test_hot_value_is_cut_into_several_files(spark, database, many_files, copies):
     """A third of all rows has one key; with ``copies`` they are equal in every column."""
@@ -121,8 +128,25 @@ def test_dropping_a_table_frees_its_files(spark, database):
     drop_table(spark, name)  # no table, no error
 
 
+def test_a_released_database_leaves_no_files(spark):
+    import glob
+
+    from tidemark.operators import workspace
+
+    database = workspace.fresh_database(spark)
+    folder = spark.catalog.getDatabase(database).locationUri.removeprefix("file:")
+    for _ in range(2):
+        loaded(spark, database, Layout(), spark.range(100))
+    assert glob.glob(f"{folder}/**/*.parquet", recursive=True)
+    workspace.release(spark, database)
+    assert not spark.catalog.databaseExists(database)
+    assert not glob.glob(f"{folder}/**/*.parquet", recursive=True)
+
+
 def test_contradicting_layouts_are_refused():
     with pytest.raises(ValueError):
         Layout(ranged=True)
+    with pytest.raises(ValueError):
+        Layout(sort_by=("a",), ranges=4)
     with pytest.raises(ValueError):
         Layout(partition_by=("a",), spread_by=("b",))

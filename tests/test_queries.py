@@ -24,8 +24,8 @@ def ordered(rows):
     return sorted(rows, key=lambda row: tuple((value is None, str(value)) for value in row))
 
 
-def test_every_query_but_the_sizes_has_sql():
-    assert set(entry._own_queries()) - set(entry._own_oracle_sql()) == {"table_sizes"}
+def test_every_query_has_sql():
+    assert set(entry._own_queries()) == set(entry._own_oracle_sql())
     assert set(entry.oracle_sql()) <= set(entry.queries())
 
 
@@ -40,11 +40,6 @@ def test_query_matches_its_sql(spark, oracle, data, key):
     assert want
 
 
-def test_sizes_of_copies(spark, data):
-    sizes = {r.table: r.size for r in entry.queries()["table_sizes"](spark, data).collect()}
-    assert set(sizes) == {"customer", "events", "lineitem", "orders"} and all(s > 0 for s in sizes.values())
-
-
 def test_entry(spark):
     rows = entry.entry(spark).collect()
     assert len(rows) == 7 and rows[0].max_price == max(r.max_price for r in rows)

@@ -37,6 +37,12 @@ def test_status_keeps_the_last_success(spark):
     assert got["a"].rows == 2 and got["b"] is None and got["c"] is None and set(got) == {"a", "b", "c"}
 
 
+def test_the_last_success_of_equal_times_does_not_depend_on_the_order(spark):
+    runs = [run("a", 0, 1), run("a", 0, 2)]
+    got = {latest_success(frame(spark, x)).first().last_run.rows for x in (runs, runs[::-1])}
+    assert got == {2}
+
+
 def test_latest_success_reduces_before_it_exchanges(spark):
     plan = latest_success(frame(spark, [run("a", 0, 1)]))._jdf.queryExecution().executedPlan().toString()
     assert "partial_max_by" in plan and "Window" not in plan
@@ -55,7 +61,9 @@ def specs(database):
 
 def test_names_keep_the_listed_transfers(spark, database):
     log = f"{database}.runs"
-    got = run_transfers(spark, specs(database), names=["t1", "t3", "unknown"], run_log=log)
+    with pytest.raises(ValueError, match="unknown"):
+        run_transfers(spark, specs(database), names=["t1", "unknown"], run_log=log)
+    got = run_transfers(spark, specs(database), names=["t1", "t3"], run_log=log)
     assert [(r.alias, r.rows, r.status) for r in got.orderBy("alias").collect()] == [
         ("t1", 1, "success"), ("t3", 3, "success")]
     assert not spark.catalog.tableExists(f"{database}.t2")
@@ -97,6 +105,15 @@ def test_statistics_are_kept_with_a_run(spark, database):
     assert row.table_stats.rows == 3 and row.table_stats.table == "t3" and row.table_stats.disk_size > 0
 
 
+def test_a_load_without_statistics_is_a_success(spark, database, monkeypatch):
+    def broken(*_):
+        raise RuntimeError("no footer")
+
+    monkeypatch.setattr("tidemark.operators.runlog.table_stats", broken)
+    row = run_transfers(spark, specs(database)[2:], with_stats=True).first()
+    assert (row.status, row.rows, row.table_stats, row.message) == ("success", 3, None, "no statistics: no footer")
+
+
 def test_spec_frame(spark, database):
     frame = spec_frame(spark, specs(database))
     assert frame.where(F.col("alias").isin("t1", "t2")).count() == 2 and not frame.first().incremental

@@ -60,6 +60,35 @@ def test_jdbc_without_rows_or_ranges_is_one_read():
     assert "partitionColumn" not in read_options(JdbcSource("jdbc:db"), "select 1")
 
 
+def test_jdbc_fetches_by_a_cursor_where_the_driver_has_to_be_told():
+    assert jdbc.connection_options(JdbcSource("jdbc:mysql://h/x"))["useCursorFetch"] == "true"
+    told = JdbcSource("jdbc:mysql://h/x", options={"useCursorFetch": "false"})
+    assert jdbc.connection_options(told)["useCursorFetch"] == "false"
+    assert "useCursorFetch" not in jdbc.connection_options(SOURCE)
+
+
+def test_known_bounds_are_not_asked_for():
+    class Reader:
+        asked = []
+
+        def format(self, _):
+            return self
+
+        def options(self, **options):
+            self.asked.append(options)
+            return self
+
+        def load(self):
+            return self
+
+    class Session:
+        read = Reader()
+
+    jdbc.read_jdbc(Session(), JdbcSource("jdbc:db", partition_column="id", num_partitions=3, bounds=(5, 90)), "select 1")
+    [options] = Reader.asked
+    assert (options["lowerBound"], options["upperBound"], options["numPartitions"]) == ("5", "90", "3")
+
+
 def test_jdbc_ranges_need_a_column():
     with pytest.raises(ValueError):
         JdbcSource("jdbc:db", num_partitions=4)

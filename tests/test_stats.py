@@ -101,6 +101,16 @@ def test_rows_come_from_the_footers(spark, tables):
     assert "PushedAggregation: [COUNT(*)]" in plan and "content" not in plan
 
 
+def test_statistics_of_folders_with_any_character(spark, database):
+    values = ["a b", "10:30", "50%", "x=y", "ü/ö"]
+    rows = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "id long, part string")
+    transfer(spark, TransferSpec(
+        alias="odd_folders", database=database, frame=lambda s: rows, layout=Layout(partition_by=("part",))))
+    row = table_stats(spark, [f"{database}.odd_folders"]).first()
+    assert row.rows == len(values) and row.compression_ratio > 0
+    assert row.disk_size == sum(os.stat(f).st_size for f in files_of(spark, database, "odd_folders"))
+
+
 def test_columns_are_listed_with_their_sizes(spark, tables):
     sizes = file_columns(spark, [tables["orders"]]).groupBy("column").agg(F.sum("data_compressed_bytes").alias("n"))
     got = {r.column: r.n for r in sizes.collect()}

@@ -117,6 +117,30 @@ def test_failed_load_leaves_the_live_table(spark, salaries):
     assert rows_of(spark, salaries) == before
 
 
+def test_a_swap_that_a_lost_driver_left_is_finished(spark, salaries):
+    transfer(spark, salaries)
+    transfer(spark, salaries, force_refresh=True)
+    names = names_of(spark, salaries)
+    before = rows_of(spark, salaries)
+    catalog.rename_table(spark, names.live, names.staging)  # as after the first rename of the next refresh
+    add(spark, salaries, [(3, 170, dt.date(2003, 1, 1))])
+    result = transfer(spark, salaries)
+    assert (result.mode, result.rows) == (INCREMENT, 1)
+    assert len(rows_of(spark, salaries)) == len(before) + 1
+    assert not catalog.table_exists(spark, names.staging)
+
+
+def test_an_unfinished_staging_table_is_not_made_live(spark, salaries):
+    transfer(spark, salaries)
+    transfer(spark, salaries, force_refresh=True)
+    names = names_of(spark, salaries)
+    schema = spark.table(names.live).schema
+    catalog.drop_table(spark, names.live)
+    catalog.create_table(spark, names, schema, live=False)
+    result = transfer(spark, salaries)
+    assert (result.mode, result.rows) == (REFRESH, 6)
+
+
 def test_failed_swap_restores_the_live_table(spark, salaries, monkeypatch):
     transfer(spark, salaries)
     before = rows_of(spark, salaries)

@@ -23,7 +23,8 @@ def arrange(df: DataFrame, layout: Layout) -> DataFrame:
     splits large partitions and merges small ones.
     """
     if layout.ranged:
-        df = df.withColumn(_TASK, F.spark_partition_id()).repartitionByRange(*layout.sort_by, _TASK).drop(_TASK)
+        number = [layout.ranges] if layout.ranges else []
+        df = df.withColumn(_TASK, F.spark_partition_id()).repartitionByRange(*number, *layout.sort_by, _TASK).drop(_TASK)
     elif layout.partition_by or layout.spread_by:
         df = df.hint("rebalance", *(F.col(c) for c in layout.partition_by or layout.spread_by))
     keys = [*layout.partition_by, *layout.sort_by]

@@ -62,10 +62,12 @@ def latest_success(runs: DataFrame) -> DataFrame:
     """The last successful run of each alias.
 
     An aggregate, not a window: each task first reduces its rows to one per
-    alias, so that an alias with most of the log costs no more than another.
+    alias, so that an alias with most of the log costs no more than another. Runs
+    with the same times are told apart by their other columns, in the order of
+    the table, so that the answer does not depend on the order of rows.
     """
     fields = [F.col(c) for c in runs.columns if c != "alias"]
-    last = F.max_by(F.struct(*fields), F.struct("started", "ended"))
+    last = F.max_by(F.struct(*fields), F.struct("started", "ended", *fields))
     return runs.where(F.col("status") == SUCCESS).groupBy("alias").agg(last.alias("last_run"))
 
 
@@ -98,13 +100,18 @@ def logged_run(
     error = None
     try:
         result = transfer(spark, spec, listener)
-        found = None
-        if with_stats:
-            found = table_stats(spark, [TableNames.of(spark, spec.alias, spec.database).live]).first()
-        run = (result.alias, result.mode, result.started, result.ended, result.rows, SUCCESS, result.mark, None, found)
     except Exception as failure:  # given to the caller, which decides whether to go on
         error = failure
         run = (spec.alias, None, started, datetime.now(timezone.utc), None, FAILURE, None, str(failure), None)
+    else:
+        found = message = None
+        if with_stats:
+            try:
+                found = table_stats(spark, [TableNames.of(spark, spec.alias, spec.database).live]).first()
+            except Exception as failure:  # the load is done all the same
+                message = f"no statistics: {failure}"
+                log.warning("%s: %s", spec.alias, message)
+        run = (result.alias, result.mode, result.started, result.ended, result.rows, SUCCESS, result.mark, message, found)
     if run_log is not None:
         append_log(run_frame(spark, [run]), run_log)
     return run, error

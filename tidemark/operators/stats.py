@@ -153,9 +153,14 @@ def _footer_reader() -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame
             sizes = defaultdict(lambda: [0, 0])
             for database, table, path in batch.itertuples(index=False):
                 scheme, _, rest = path.partition(":")
-                scheme = {"s3a": "s3", "s3n": "s3"}.get(scheme, scheme)
-                uri = scheme + "://" + "/" * (scheme == "file") + rest.lstrip("/")
-                files, inner = pyarrow.fs.FileSystem.from_uri(uri)
+                if scheme == "file":
+                    files, inner = pyarrow.fs.LocalFileSystem(), "/" + rest.lstrip("/")
+                else:
+                    # The folder of a partition value may hold any character; only the host is a URI.
+                    host, _, inner = rest.lstrip("/").partition("/")
+                    scheme = {"s3a": "s3", "s3n": "s3"}.get(scheme, scheme)
+                    files, base = pyarrow.fs.FileSystem.from_uri(f"{scheme}://{host}/")
+                    inner = f"{base.rstrip('/')}/{inner}"
                 with files.open_input_file(inner) as handle:
                     footer = pyarrow.parquet.read_metadata(handle)
                 for g in range(footer.num_row_groups):

@@ -52,7 +52,7 @@ class LoadState:
     open: bool = False
     mark: Mark | None = None
 
-    def keep(self, spark: SparkSession, table: str, column: str) -> None:
+    def keep(self, spark: SparkSession, table: str, column: str | None) -> None:
         texts = [self.mark.value, self.mark.exact] if self.mark else None
         state = {"open": self.open, "column": column, "mark": texts}
         # Hex, as Spark hides values that look like secrets when it shows properties.
@@ -100,11 +100,21 @@ def write_staging(spark: SparkSession, spec: TransferSpec, names: TableNames, df
     if spec.layout.partition_by:
         writer = writer.partitionBy(*spec.layout.partition_by)
     writer.option("path", catalog.new_location(spark, names)).saveAsTable(names.staging)
-    if spec.primary_key is not None:
-        LoadState(mark=watched.top()).keep(spark, names.staging, spec.primary_key)
+    LoadState(mark=watched.top()).keep(spark, names.staging, spec.primary_key)  # also says that it is complete
     return watched.count()
 
 
+def finish_swap(spark: SparkSession, names: TableNames) -> bool:
+    """Make a complete staging table live that a driver, lost between the two renames of a swap, left."""
+    if catalog.table_exists(spark, names.live) or not catalog.table_exists(spark, names.previous):
+        return False
+    if not catalog.table_exists(spark, names.staging) or _STATE_PROPERTY not in catalog.get_properties(spark, names.staging):
+        return False
+    catalog.rename_table(spark, names.staging, names.live)
+    log.warning("%s: finished the swap of an earlier load", names.live)
+    return True
+
+
 def refresh(spark: SparkSession, spec: TransferSpec, names: TableNames) -> int:
     """Load everything next to the live table, then swap.
 
@@ -183,6 +193,7 @@ def transfer(
     started = datetime.now(timezone.utc)
     names = TableNames.of(spark, spec.alias, spec.database)
     mark = None
+    finish_swap(spark, names)
     if spec.incremental and not force_refresh and catalog.table_exists(spark, names.live):
         mode = INCREMENT
         rows, mark = increment(spark, spec, names)

@@ -7,6 +7,8 @@ import uuid
 
 from pyspark.sql import SparkSession
 
+from tidemark.operators.catalog import drop_table, quoted
+
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors see, as the session names it.
@@ -33,3 +35,11 @@ def fresh_database(spark: SparkSession) -> str:
     name = f"tidemark_{uuid.uuid4().hex[:12]}"
     spark.sql(f"CREATE DATABASE {name} LOCATION '{fresh_folder(spark)}'")
     return name
+
+
+def release(spark: SparkSession, database: str) -> None:
+    """Drop a working database and free the files of its tables; frames that read them end with it."""
+    for table in spark.catalog.listTables(database):
+        if not table.isTemporary:
+            drop_table(spark, f"{quoted(database)}.{quoted(table.name)}")
+    spark.sql(f"DROP DATABASE IF EXISTS {quoted(database)} CASCADE")

@@ -38,12 +38,15 @@ class Layout:
     ``sort_by`` sorts the rows of each file, so that the min/max values of its row
     groups prune range reads; this needs no shuffle. ``ranged`` also gives every
     file a range of its own, at the price of a shuffle and a sampling pass over
-    the source. ``partition_by`` makes directories. ``spread_by`` shuffles by the
+    the source; ``ranges`` is their number, which adaptive execution may lower but
+    not raise, so give it for large sources (``spark.sql.shuffle.partitions``
+    else). ``partition_by`` makes directories. ``spread_by`` shuffles by the
     given columns before writing, for sources that come in few splits.
     """
 
     sort_by: tuple[str, ...] = ()
     ranged: bool = False
+    ranges: int | None = None
     partition_by: tuple[str, ...] = ()
     spread_by: tuple[str, ...] = ()
     row_group_bytes: int | None = None
@@ -55,6 +58,8 @@ class Layout:
                 raise TypeError(f"{name} takes a tuple of column names")
         if self.ranged and not self.sort_by:
             raise ValueError("a ranged layout needs sort_by")
+        if self.ranges is not None and not (self.ranged and self.ranges > 0):
+            raise ValueError("ranges is the number of files of a ranged layout")
         if sum(map(bool, (self.ranged, self.partition_by, self.spread_by))) > 1:
             raise ValueError("choose one of ranged, partition_by and spread_by")
 
@@ -72,7 +77,10 @@ class JdbcSource:
     """Connection to a remote database.
 
     ``partition_column`` splits the read into ``num_partitions`` key ranges. Give
-    a unique key: equal-width ranges over it cannot hold a hot value.
+    a unique key: equal-width ranges over it cannot hold a hot value. ``bounds``
+    are its smallest and largest value, if they are known; else the remote
+    database is asked for them, which runs the query once more. Without
+    ``partition_column`` one task reads everything.
     """
 
     url: str
@@ -81,12 +89,15 @@ class JdbcSource:
     driver: str | None = None
     partition_column: str | None = None
     num_partitions: int = 1
+    bounds: tuple | None = None
     fetch_size: int = 10_000
     options: dict[str, str] = field(default_factory=dict, repr=False)
 
     def __post_init__(self):
         if self.num_partitions > 1 and not self.partition_column:
             raise ValueError("num_partitions needs a partition_column")
+        if self.bounds is not None and self.num_partitions < 2:
+            raise ValueError("bounds need num_partitions")
 
 
 RangeClause = str | Callable[[Column], Column]

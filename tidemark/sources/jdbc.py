@@ -9,8 +9,16 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tidemark.plans.spec import JdbcSource, check_name
 
 
+# Connection properties without which a driver ignores the fetch size and holds the whole result in memory.
+CURSOR_OPTIONS = {"jdbc:mysql:": {"useCursorFetch": "true"}}
+
+
 def connection_options(source: JdbcSource) -> dict[str, str]:
-    options = {"url": source.url, "fetchsize": str(source.fetch_size), **source.options}
+    options = {"url": source.url, "fetchsize": str(source.fetch_size)}
+    for kind, cursor in CURSOR_OPTIONS.items():
+        if source.url.startswith(kind):
+            options |= cursor
+    options |= source.options
     for key in ("user", "password", "driver"):
         if getattr(source, key) is not None:
             options[key] = getattr(source, key)
@@ -60,8 +68,8 @@ def read_catalogue(spark: SparkSession, source: JdbcSource, database: str) -> Da
 
 
 def read_jdbc(spark: SparkSession, source: JdbcSource, query: str) -> DataFrame:
-    bounds = None
-    if source.num_partitions > 1:
+    bounds = source.bounds
+    if source.num_partitions > 1 and bounds is None:
         options = {**connection_options(source), "query": bounds_query(source, query)}
         bounds = tuple(spark.read.format("jdbc").options(**options).load().first())
     return spark.read.format("jdbc").options(**read_options(source, query, bounds)).load()
