@@ -84,6 +84,26 @@ def test_components_of_a_path(spark):
     assert got == {i: 0 for i in range(41)} | {99: 99, 100: 99}
 
 
+def test_components_of_any_graph_and_with_more_links(spark):
+    rng = np.random.default_rng(3)
+    links = [tuple(map(int, x)) for x in rng.integers(0, 120, (70, 2))]
+    later = [tuple(map(int, x)) for x in rng.integers(0, 120, (20, 2))]
+
+    def plain(pairs):
+        root = {x: x for p in pairs if p[0] != p[1] for x in p}
+        for _ in root:
+            for a, b in pairs:
+                if a != b:
+                    root[a] = root[b] = min(root[a], root[b])
+        return root
+
+    frame = lambda pairs: spark.createDataFrame(pairs, "a long, b long")
+    labels = components.components(frame(links))
+    assert {r.id: r.component for r in labels.collect()} == plain(links)
+    assert {r.id: r.component for r in components.joined(labels, frame(later)).collect()} == plain(links + later)
+    assert components.components(frame([(4, 4)])).isEmpty()
+
+
 def test_bpe_is_that_of_the_library(spark, odd):
     from tokenizers import Tokenizer
 

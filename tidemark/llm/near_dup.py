@@ -29,7 +29,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tidemark.llm.components import components
+from tidemark.llm.components import components, joined
 from tidemark.llm.prefilter import only, without
 from tidemark.llm.store import stored
 from tidemark.llm.tiles import tiled
@@ -281,16 +281,17 @@ def linked(documents: DataFrame, width: int, percent: int) -> DataFrame:
     labels = components(links)
 
     open_ = _open_groups(bands.select("id", "band"), labels)
-    center = open_.groupBy("band").agg(F.max(F.struct("component", "id")).alias("c"))
-    pairs = open_.join(center, "band").where("component <> c.component").select(
-        F.least("id", "c.id").alias("a"), F.greatest("id", "c.id").alias("b")).distinct()
-    more = stored(confirmed(stored(_judged(pairs, known, percent)), documents, width, percent))
-    labels = components(links.unionByName(more))
-
-    open_ = _open_groups(open_.select("id", "band"), labels)
-    rest = stored(confirmed(stored(_residual(open_, documents, width, percent)), documents, width, percent))
-    if not rest.isEmpty():
-        labels = components(links.unionByName(more).unionByName(rest))
+    if not open_.isEmpty():
+        center = open_.groupBy("band").agg(F.max(F.struct("component", "id")).alias("c"))
+        pairs = open_.join(center, "band").where("component <> c.component").select(
+            F.least("id", "c.id").alias("a"), F.greatest("id", "c.id").alias("b")).distinct()
+        more = stored(confirmed(stored(_judged(pairs, known, percent)), documents, width, percent))
+        if not more.isEmpty():
+            labels = joined(labels, more)
+            open_ = _open_groups(open_.select("id", "band"), labels)
+        rest = stored(confirmed(stored(_residual(open_, documents, width, percent)), documents, width, percent))
+        if not rest.isEmpty():
+            labels = joined(labels, rest)
     return members.join(labels.withColumnRenamed("id", "rep"), "rep", "left").select(
         "doc_id", "n_shingles", F.coalesce("component", "rep").alias("component_id"))
 
