@@ -5,6 +5,7 @@ import itertools
 import random
 import re
 import unicodedata
+import zlib
 
 import numpy as np
 import pytest
@@ -281,3 +282,47 @@ def test_empty_tables(spark, odd):
         embedding_dup.embedding_duplicates(vectors), url_filter.judge(pages, rules),
     ):
         assert frame.count() == 0
+
+
+def letters(text):
+    """The distinct words of a text by their lower-cased letters; bytes, as beginnings are cut by bytes."""
+    cores = (re.sub(rb"[^a-z\x80-\xff]", b"", w.encode().lower()) for w in WORD.findall(text or ""))
+    return {c for c in cores if c}
+
+
+def test_toxic_words_are_counted_over_all_training_rows(spark):
+    rnd = random.Random(6)
+    plain = ["river", "Stone,", "maple", "quiet", "window", "été", "7"]
+    plain += ["".join(rnd.choice("abcdeilmnorstu") for _ in range(rnd.randint(2, 9))) for _ in range(400)]
+    rows, marks = [], []
+    for i in range(360):
+        toxic = i % 3 == 0
+        # Two toxic words: one in short texts, one only in texts longer than what the fit takes.
+        size, bad = (30, "zworgle") if i % 2 else (200, "hexfuddle")
+        words = [rnd.choice(plain) for _ in range(size)]
+        if toxic:
+            words[size // 2] = bad
+        rows.append((i, " ".join(words), "en", "a"))
+        marks.append((i, 1, int(toxic)))
+    rows += [(400, None, "en", "a"), (None, "zworgle", "en", "a"), (401, "river", "en", "a")]
+    marks += [(400, 1, 1), (None, 1, 1), (402, 1, 1), (359, None, None)]
+    docs, labels = documents(spark, rows), spark.createDataFrame(marks, "doc_id long, quality int, toxic int")
+    train_ids = {i for i, *_ in marks if i is not None and i < 400 and zlib.crc32(str(i).encode()) % 3 != 1}
+    want = {}
+    for i, text, *_ in rows:
+        if i in train_ids:
+            for core in letters(text):
+                for kind, n in enumerate((None, *toxicity.PREFIXES)):
+                    if n is None or len(core) >= n:
+                        key = (kind, core[:n])
+                        want.setdefault(key, [0, 0])[i % 3 != 0] += 1
+    got = toxicity.document_frequencies(docs, labels).collect()
+    assert sorted((r.kind, r.a0 + r.a1, r.b0 + r.b1) for r in got if r.kind >= 0) == sorted((k, *n) for (k, _), n in want.items())
+    assert [sum(r[c] for r in got if r.kind < 0) for c in toxicity.CELLS] == [
+        sum(i in train_ids and (i % 3 != 0) == other and zlib.crc32(t.encode()) % 2 == half for i, t, *_ in rows[:360])
+        for other in (0, 1) for half in (0, 1)]
+    model = toxicity.train(docs, labels, max_chars=400)
+    fresh = documents(spark, [(1, "quiet maple hexfuddle river", "en", "a"), (2, "quiet maple window river", "en", "a")])
+    found = {r.doc_id: r for r in toxicity.score_toxicity(fresh, model).collect()}
+    assert [(s.start, s.end) for s in found[1].spans] == [(12, 21)] and found[2].spans == []
+    assert found[1].score > 0.5 > found[2].score

@@ -100,14 +100,15 @@ class Crf:
 def fit(
     ids: list[np.ndarray], dense: np.ndarray, first: np.ndarray, y: np.ndarray, width: int, weights: np.ndarray,
     steps: int = 40, rate: float = 0.5, ridge: float = 1e-6, model: Crf | None = None, chained: bool = True,
-    keep: float = 1.0,
+    keep: float = 1.0, together: int = 0,
 ) -> Crf:
     """Maximise the likelihood of the labels ``y`` by adaptive gradient steps over all chains.
 
     The gradient of a feature is its expected count under the model (forward-backward)
     less its count in the labels. ``weights`` is the weight of each position. Without ``chained``
     the transitions stay as they are. With ``keep`` below 1 each hashed feature is left out at random in each
-    step, so that none relies on the others.
+    step, so that none relies on the others. The first ``together`` are also left out all at once in half of the
+    positions, so that the later ones do without them.
     """
     model = model or Crf([np.zeros(width) for _ in ids], np.zeros(dense.shape[1]))
     n = max(1.0, weights.sum())
@@ -125,6 +126,8 @@ def fit(
     for _ in range(steps):
         if keep < 1:
             masks = [(rng.random(len(y), np.float32) < keep) / keep for _ in ids]
+            some = rng.random(len(y), np.float32) < 0.5 if together else 1.0
+            masks = [m * some if k < together else m for k, m in enumerate(masks)]
         e = dense @ model.dense
         for table, i, mask in zip(model.tables, ids, masks, strict=True):
             e = e + table[i] * mask

@@ -35,6 +35,13 @@ def even_sample(labelled: DataFrame, label: str, rows: int, seed: int = 7, class
     return labelled.where(picked)
 
 
+def usable_labels(labels: DataFrame, label: str, modulus: int = 3, rest: int = 1) -> DataFrame:
+    """doc_id and label of each id to train on: not of the remainder ``rest``, with a label of 0 or 1; 1 if it has both."""
+    usable = labels.select("doc_id", F.col(label).cast("int").alias("label")).where(
+        (remainder(F.col("doc_id"), modulus) != rest) & F.col("label").isin(0, 1))
+    return usable.groupBy("doc_id").agg(F.max("label").alias("label"))
+
+
 def labelled_sample(
     documents: DataFrame, labels: DataFrame, label: str, rows: int, max_chars: int, modulus: int = 3, rest: int = 1
 ) -> tuple[list[bytes], np.ndarray, np.ndarray]:
@@ -46,9 +53,7 @@ def labelled_sample(
     Near copies of a sampled text (one of four smallest hashes of word triples is the same)
     are left out, so that a text copied a thousand times counts once.
     """
-    usable = labels.select("doc_id", F.col(label).cast("int").alias("label")).where(
-        (remainder(F.col("doc_id"), modulus) != rest) & F.col("label").isin(0, 1))
-    usable = usable.groupBy("doc_id").agg(F.max("label").alias("label"))
+    usable = usable_labels(labels, label, modulus, rest)
     picked = even_sample(usable, "label", rows)
     # The bound: two classes of about `rows` ids.
     found = (
