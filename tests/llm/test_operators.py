@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import (
     bpe, chat, components, crf, embedding_dup, language, line_quality, mixing, near_dup, queries, quality_rules,
-    toxicity, url_filter)
+    sampling, toxicity, url_filter)
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, score double, ids string"
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -326,3 +326,20 @@ def test_toxic_words_are_counted_over_all_training_rows(spark):
     found = {r.doc_id: r for r in toxicity.score_toxicity(fresh, model).collect()}
     assert [(s.start, s.end) for s in found[1].spans] == [(12, 21)] and found[2].spans == []
     assert found[1].score > 0.5 > found[2].score
+
+
+def test_samples_keep_what_is_alike_and_learn_from_long_texts(spark):
+    shared = " ".join(f"passage{i}" for i in range(40))
+    rows = [(i, f"{shared} own{i}", "en", "a") for i in range(40)]
+    rows += [(i, "equal " * 15, "en", "a") for i in range(40, 60)]
+    rows += [(i, f"langue{i} était très longue " * 60, "fr", "a") for i in range(60, 80)]  # all longer than max_chars
+    docs = documents(spark, rows)
+    labels = spark.createDataFrame([(i, int(i < 60), int(i % 2)) for i in range(80)], "doc_id long, quality int, toxic int")
+    train_ids = [i for i in range(80) if zlib.crc32(str(i).encode()) % 3 != 1]
+    texts, y, _ = sampling.labelled_sample(docs, labels, "quality", 50, 600)
+    assert sorted(texts) == sorted({rows[i][1].encode() for i in train_ids}) and 0 < y.sum() < len(y)
+    texts, y, _ = sampling.labelled_sample(docs, labels, "toxic", 10, 600)
+    assert list(np.bincount(y)) == [10, 10] and all(len(t) <= 600 for t in texts)
+    texts, y, _ = sampling.labelled_sample(docs, labels, "quality", 50, 10)  # the budget is 500 bytes a class
+    assert set(y) == {0, 1} and sum(len(t) for t, mark in zip(texts, y) if mark) <= 500
+    assert language.train(docs, max_chars=600).names == ["en", "fr"]

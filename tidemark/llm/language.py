@@ -20,7 +20,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
-from tidemark.llm.sampling import even_sample, remainder
+from tidemark.llm.sampling import even_sample, measures, remainder
 from tidemark.llm.scoring import kept, scored
 from tidemark.llm.words import Block, Words, mix
 
@@ -131,15 +131,14 @@ def calibrated(logits: np.ndarray, y: np.ndarray) -> float:
 def train(
     documents: DataFrame, rows: int = 400, max_chars: int = 6000, least: float = 0.5, modulus: int = 5, rest: int = 0
 ) -> LanguageModel:
-    """Fit on about ``rows`` documents of each language at most, none longer than ``max_chars``.
+    """Fit on ``rows`` documents of each language at most, longer than ``max_chars`` only if it has too few others.
 
     Documents whose remainder is ``rest``, or without an id, a text or a language, are not used. A fifth of the sample
     is kept for the temperature.
     """
-    usable = documents.select("doc_id", "text", F.col("lang").cast("string").alias("lang")).where(
-        (remainder(F.col("doc_id"), modulus) != rest) & F.col("lang").isNotNull() & (F.length("text") <= max_chars))
-    found = sorted((r.text.encode(), r.lang) for r in even_sample(usable, "lang", rows).select("text", "lang").collect())
-    found = list(dict.fromkeys(found))
+    usable = documents.select("doc_id", F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("label")).where(
+        (remainder(F.col("doc_id"), modulus) != rest) & F.col("lang").isNotNull())
+    found = even_sample(documents, usable.select("label", *measures(F.col("text"))), rows, max_chars)
     names = sorted({lang for _, lang in found})
     if not names:
         return LanguageModel([], np.zeros((SUBWORDS + WHOLE, 1), np.float32), np.zeros(1), 1.0, least)

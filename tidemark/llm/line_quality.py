@@ -89,7 +89,7 @@ def good_share(p: np.ndarray, lines: Lines) -> np.ndarray:
 
 
 def train(documents: DataFrame, labels: DataFrame, rows: int = 1500, max_chars: int = 20_000, rounds: int = 3) -> LineModel:
-    """Fit on about ``rows`` labelled documents of each class at most, none longer than ``max_chars``."""
+    """Fit on ``rows`` labelled documents of each class at most, longer than ``max_chars`` only if it has too few others."""
     texts, y, weights = labelled_sample(documents, labels, "quality", rows, max_chars)
     share = np.clip((weights * y).sum() / max(1e-9, weights.sum()) if len(y) else 0.5, 1e-4, 1 - 1e-4)
     if len(y) == 0 or y.min() == y.max():

@@ -75,7 +75,7 @@ def linear(weights: np.ndarray, groups: list[tuple[np.ndarray, np.ndarray]], tex
 def train(
     documents: DataFrame, labels: DataFrame, rows: int = 800, max_chars: int = 8000, least: float = 0.5, steps: int = 60
 ) -> RuleModel:
-    """Fit on about ``rows`` labelled documents of each class at most, none longer than ``max_chars``."""
+    """Fit on ``rows`` labelled documents of each class at most, longer than ``max_chars`` only if it has too few others."""
     texts, y, weights = labelled_sample(documents, labels, "quality", rows, max_chars)
     if len(y) == 0 or y.min() == y.max():
         share = np.clip(y.mean() if len(y) else 1.0, 1e-4, 1 - 1e-4)

@@ -5,7 +5,7 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidemark.llm.words import Block, Words, windows
+from tidemark.llm.store import stored
 
 UNITS = 1 << 30
 
@@ -19,20 +19,56 @@ def held_out(doc_id: Column, modulus: int, rest: int) -> Column:
     return F.coalesce(remainder(doc_id, modulus) == rest, F.lit(False))
 
 
-def even_sample(labelled: DataFrame, label: str, rows: int, seed: int = 7, classes: int = 1000) -> DataFrame:
-    """About ``rows`` rows of each value of ``label`` at most, picked by a hash of doc_id.
+def measures(text: Column, seed: int = 7) -> list[Column]:
+    """Characters, bytes and two hashes of a text."""
+    return [
+        F.length(text).alias("chars"), F.octet_length(text).alias("size"), F.xxhash64(text).alias("h1"),
+        F.xxhash64(F.lit(seed), text).alias("h2")]
 
-    The values are counted first, so the expected size is bounded by ``rows`` for each;
-    more than ``classes`` values are refused.
+
+def even_sample(
+    documents: DataFrame, measured: DataFrame, rows: int, max_chars: int, classes: int = 1000
+) -> list[tuple[bytes, object]]:
+    """``rows`` texts of each value of ``label``, or all there are, picked by a hash of the text, in order.
+
+    ``measured`` has the label and the measures of each text to pick from, ``documents`` has the texts. Equal texts of one label count
+    once, others are never left out for being alike. Texts of at most ``max_chars`` come first; a label that has too few of these
+    gets longer ones too, the shorter of a random choice first, up to ``rows`` * ``max_chars`` bytes. If it has nothing else and
+    its first one is longer than that, it gets the beginning of that one. More than ``classes`` labels are refused.
     """
-    counts = labelled.groupBy(label).count().limit(classes + 1).collect()
-    if len(counts) > classes:
-        raise ValueError(f"{label} has more than {classes} values")
-    unit = F.pmod(F.xxhash64(F.lit(seed), F.col("doc_id").cast("string")), F.lit(UNITS))
+    found = measured.where(F.col("chars").isNotNull()).withColumn("long", F.col("chars") > max_chars)
+    found = stored(found.groupBy("label", "h1", "h2", "long").agg(F.min("size").alias("size")))
+    counts = {(r["label"], r["long"]): r["count"] for r in found.groupBy("label", "long").count().limit(2 * classes + 1).collect()}
+    values = {value for value, _ in counts}
+    if len(values) > classes:
+        raise ValueError(f"more than {classes} labels")
+    unit = F.pmod(F.col("h2"), F.lit(UNITS))
     picked = F.lit(False)
-    for value, count in counts:
-        picked = picked | (F.col(label).eqNullSafe(F.lit(value)) & (unit < int(UNITS * min(1.0, rows / count))))
-    return labelled.where(picked)
+    for (value, long), n in counts.items():
+        need = rows - counts.get((value, False), 0) if long else rows
+        if need > 0:  # some more, so that as good as never too few are
+            part = min(1.0, (need + 6 * need**0.5 + 10) / n)
+            picked = picked | (F.col("label").eqNullSafe(F.lit(value)) & (F.col("long") == long) & (unit < int(UNITS * part)))
+    by_label: dict[object, list] = {}
+    for r in found.where(picked).collect():  # about 2 * rows a label
+        by_label.setdefault(r["label"], []).append(r)
+    budget, taken = rows * max_chars, []
+    for own in by_label.values():
+        own.sort(key=lambda r: (r["long"], r["size"] if r["long"] else r["h2"] % UNITS, r["h2"], r["h1"]))
+        held = 0
+        for at, r in enumerate(own[:rows]):
+            held += r["size"] * r["long"]
+            if held > budget and at:
+                break
+            taken.append((r["label"], r["h1"], r["h2"]))
+    if not taken:
+        return []
+    kind = f"label {measured.schema['label'].dataType.simpleString()}, h1 long, h2 long"
+    wanted = F.broadcast(documents.sparkSession.createDataFrame(taken, kind))
+    text = F.col("text").cast("string")
+    texts = documents.select(text.alias("text"), *measures(text)[2:]).join(wanted, ["h1", "h2"])
+    texts = texts.groupBy("label", "h1", "h2").agg(F.first(F.substring("text", 1, budget)).alias("text"))
+    return sorted((r["text"].encode()[:max(budget, 4 * max_chars)], r["label"]) for r in texts.collect())
 
 
 def usable_labels(labels: DataFrame, label: str, modulus: int = 3, rest: int = 1) -> DataFrame:
@@ -48,28 +84,13 @@ def labelled_sample(
     """Texts, labels and weights of a bounded sample of labelled documents.
 
     Rows whose remainder is ``rest`` are left out, also rows without an id or a label
-    of 0 or 1. At most about ``rows`` of each class, none longer than ``max_chars``. The
+    of 0 or 1. ``rows`` of each class at most; see ``even_sample`` for ``max_chars`` and equal texts. The
     weight of a row is the share of its class in all labelled rows over that in the sample.
-    Near copies of a sampled text (one of four smallest hashes of word triples is the same)
-    are left out, so that a text copied a thousand times counts once.
     """
     usable = usable_labels(labels, label, modulus, rest)
-    picked = even_sample(usable, "label", rows)
-    # The bound: two classes of about `rows` ids.
-    found = (
-        documents.select("doc_id", "text").where(F.length("text") <= max_chars)
-        .join(F.broadcast(picked), "doc_id").select("text", "label").collect())
-    found = sorted((r.text.encode(), r.label) for r in found)
-    seen: set[int] = set()
-    texts, marks = [], []
-    for text, mark in found:
-        own = signature(text)
-        if own and own & seen:
-            continue
-        seen |= own
-        texts.append(text)
-        marks.append(mark)
-    y = np.array(marks, np.int8)
+    measured = documents.select("doc_id", *measures(F.col("text").cast("string"))).join(usable, "doc_id").drop("doc_id")
+    found = even_sample(documents, measured, rows, max_chars)
+    texts, y = [t for t, _ in found], np.array([mark for _, mark in found], np.int8)
     shares = {r["label"]: r["count"] for r in usable.groupBy("label").count().collect()}
     weights = np.ones(len(y))
     for value, count in shares.items():
@@ -79,16 +100,6 @@ def labelled_sample(
     return texts, y, weights
 
 
-def signature(text: bytes) -> set[int]:
-    """Four smallest hashes of the word triples, each by an order of its own; empty for short texts."""
-    block = Block.of([text])
-    words = Words.of(block)
-    triples, _ = windows(words, words.hashes(block, lower=True), 3)
-    if len(triples) < 12:
-        return set()
-    return {int((triples * np.uint64(2 * k + 0x5851F42D4C957F2D | 1)).min()) ^ k for k in range(4)}
-
-
 def logistic(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -40, 40)))
 

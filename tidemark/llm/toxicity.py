@@ -201,7 +201,7 @@ def marginal(model: ToxicModel, block: Block, words: Words) -> np.ndarray:
 
 
 def train(documents: DataFrame, labels: DataFrame, rows: int = 800, max_chars: int = 6000, steps: int = 30) -> ToxicModel:
-    """List words by all labelled training rows; fit on about ``rows`` of each class at most, none longer than ``max_chars``."""
+    """List words by all labelled training rows; fit on ``rows`` of each class at most, longer than ``max_chars`` only if it has too few others."""
     texts, y, weights = labelled_sample(documents, labels, "toxic", rows, max_chars)
     share = float((weights * y).sum() / max(1e-9, weights.sum())) if len(y) else 0.5
     constant = ToxicModel(None, np.array([0, 0, np.log(np.clip(share, 1e-4, 1 - 1e-4) / (1 - np.clip(share, 1e-4, 1 - 1e-4)))]))
