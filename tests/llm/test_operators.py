@@ -343,3 +343,17 @@ def test_samples_keep_what_is_alike_and_learn_from_long_texts(spark):
     texts, y, _ = sampling.labelled_sample(docs, labels, "quality", 50, 10)  # the budget is 500 bytes a class
     assert set(y) == {0, 1} and sum(len(t) for t, mark in zip(texts, y) if mark) <= 500
     assert language.train(docs, max_chars=600).names == ["en", "fr"]
+
+
+def test_last_comparison_is_exact(spark):
+    docs = documents(spark, [(1, "one two three four five six", "en", "a"), (2, "x", "en", "a")])
+    found = near_dup.full_sets(docs, docs.where("doc_id = 1").select(F.col("doc_id").alias("id")), 3).collect()
+    want = next(near_dup.shingle_sets([b"one two three four five six"], 3))
+    assert [(r.id, r.n, r.shingles) for r in found] == [(1, 4, want.view(np.int64).tolist())]
+    big = np.arange(671_091, dtype=np.int64)  # a hundred times this is no float32
+    common = near_dup.common_counts([big, big], np.array([0]), np.array([1]))
+    assert float((100 * common)[0, 0]) == 67_109_100
+    high = np.int64(1) << 32  # shingles that are alike in 32 bits
+    sets = [high * 5 + np.arange(10), high * 5 + np.arange(1, 10), high * 5 + np.arange(20, 30)]
+    every = np.arange(3)
+    assert near_dup.joining(every, np.array([10, 9, 10]), every, sets, every, every, 90) == [(0, 1)]

@@ -195,13 +195,13 @@ def _open_groups(bands: DataFrame, labels: DataFrame) -> DataFrame:
     return stored(named.join(mixed, "band", "left_semi"))
 
 
-def short_sets(documents: DataFrame, ids: DataFrame, width: int) -> DataFrame:
-    """id, n and the set with 32 bits of each hash, of the documents in ``ids``; equal shingles stay equal."""
+def full_sets(documents: DataFrame, ids: DataFrame, width: int) -> DataFrame:
+    """id, n and the set of 64-bit hashes, of the documents in ``ids``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at, texts in blocks(batch.column("text")):
-                sets = [(u >> np.uint64(32)).astype(np.uint32).view(np.int32) for u in shingle_sets(texts, width)]
+                sets = [u.view(np.int64) for u in shingle_sets(texts, width)]
                 ends = np.concatenate([[0], np.cumsum([len(s) for s in sets])])
                 yield pa.RecordBatch.from_arrays([
                     batch.column("id").slice(at, len(texts)), pa.array(np.diff(ends)),
@@ -209,11 +209,11 @@ def short_sets(documents: DataFrame, ids: DataFrame, width: int) -> DataFrame:
 
     kind = ids.schema["id"].dataType.simpleString()
     texts = documents.select(F.col("doc_id").alias("id"), F.col("text").cast("string").alias("text"))
-    return stored(only(texts, "id", ids)).mapInArrow(run, f"id {kind}, n long, shingles array<int>")
+    return stored(only(texts, "id", ids)).mapInArrow(run, f"id {kind}, n long, shingles array<long>")
 
 
 def common_counts(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, columns: int = 2048) -> np.ndarray:
-    """Sizes of the intersections of left x right, as products of membership matrices, some columns at a time."""
+    """Sizes of the intersections of left x right, as products of membership matrices, some columns at a time; exact."""
     sizes = [len(s) for s in sets]
     names, column, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
     row = np.repeat(np.arange(len(sets)), sizes)
@@ -222,7 +222,7 @@ def common_counts(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, c
     row, column = row[shared[column]], number[column[shared[column]]]
     order = np.argsort(column, kind="stable")
     row, column = row[order], column[order]
-    out = np.zeros((len(left), len(right)), np.float32)
+    out = np.zeros((len(left), len(right)))  # a part is below 2**24, the sum below 2**53
     for at in range(0, int(shared.sum()), columns):
         lo, hi = np.searchsorted(column, [at, at + columns])
         part = np.zeros((len(sets), columns), np.float32)
@@ -231,35 +231,43 @@ def common_counts(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, c
     return out
 
 
+def joining(
+    ids: np.ndarray, n: np.ndarray, comp: np.ndarray, sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, percent: int
+) -> list[tuple]:
+    """Linked pairs of left x right, as many as it takes to join their components."""
+    made = []
+    names, root = np.unique(comp, return_inverse=True)
+    if len(names) > 1:
+        common = common_counts(sets, left, right)
+        union = n[left][:, None] + n[right][None, :] - common
+        i, j = np.nonzero((100 * common >= percent * union) & (comp[left][:, None] != comp[right][None, :]))
+        for x, y in zip(left[i].tolist(), right[j].tolist(), strict=True):
+            if root[x] != root[y]:
+                root[root == root[y]] = root[x]
+                made.append((min(ids[x], ids[y]), max(ids[x], ids[y])))
+    return made
+
+
 def _residual(members: DataFrame, documents: DataFrame, width: int, percent: int) -> DataFrame:
     """Pairs that join the different components left in one bucket, found tile by tile.
 
-    Each tile compares whole sets by 32 bits of their hashes, which can only add to an intersection, and gives
-    no more pairs than it takes to join its rows; these are confirmed like all others.
+    Each tile compares whole sets by the hashes that also confirm pairs, so that what it finds is linked, and gives
+    no more pairs than it takes to join its rows.
     """
     # Buckets of the same members need one look.
     same = members.groupBy("band").agg(
         F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("id") % (1 << 40)).alias("h"), F.min("id").alias("m"))
     one = same.groupBy("n", "h", "m").agg(F.min("band").alias("band"))
-    sets = short_sets(documents, members.select("id").distinct(), width)
+    sets = full_sets(documents, members.select("id").distinct(), width)
     rows = members.join(one.select("band"), "band", "left_semi").join(sets, "id")
     kind = members.schema["id"].dataType.simpleString()
 
     def compare(pdf: pd.DataFrame, left: np.ndarray, right: np.ndarray) -> pd.DataFrame:
-        ids, n, comp = pdf["id"].to_numpy(), pdf["n"].to_numpy(float), pdf["component"].to_numpy()
-        made = []
-        if len(np.unique(comp)) > 1:
-            common = common_counts(pdf["shingles"].tolist(), left, right)
-            union = n[left][:, None] + n[right][None, :] - common
-            i, j = np.nonzero((100 * common >= percent * union) & (comp[left][:, None] != comp[right][None, :]))
-            names, root = np.unique(comp, return_inverse=True)
-            for x, y in zip(left[i].tolist(), right[j].tolist(), strict=True):
-                if root[x] != root[y]:
-                    root[root == root[y]] = root[x]
-                    made.append((min(ids[x], ids[y]), max(ids[x], ids[y])))
-        return pd.DataFrame(made, columns=["a", "b"], dtype=ids.dtype)
-
-    return tiled(rows, ["band"], compare, f"a {kind}, b {kind}", 512, "n").distinct()
+        made = joining(
+            pdf["id"].to_numpy(), pdf["n"].to_numpy(), pdf["component"].to_numpy(), pdf["shingles"].tolist(), left, right, percent)
+        return pd.DataFrame(made, columns=["a", "b"], dtype=pdf["id"].dtype)
+
+    return tiled(rows, ["band"], compare, f"a {kind}, b {kind}", 512, "n", 2 << 20).distinct()
 
 
 def linked(documents: DataFrame, width: int, percent: int) -> DataFrame:
