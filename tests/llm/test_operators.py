@@ -357,3 +357,12 @@ def test_last_comparison_is_exact(spark):
     sets = [high * 5 + np.arange(10), high * 5 + np.arange(1, 10), high * 5 + np.arange(20, 30)]
     every = np.arange(3)
     assert near_dup.joining(every, np.array([10, 9, 10]), every, sets, every, every, 90) == [(0, 1)]
+
+
+def test_texts_of_one_id_are_one_node(spark):
+    own = " ".join(f"own{i}" for i in range(60))
+    docs = documents(spark, [
+        (1, "one two", "en", "a"), (2, "one two", "en", "a"), (2, own, "en", "a"), (3, own, "en", "a"), (4, "else", "en", "a")])
+    got = {(r.doc_id, r.n_shingles): r.component_id for r in near_dup.near_duplicates(docs).collect()}
+    assert got == {(1, 1): 1, (2, 1): 1, (2, 56): 1, (3, 56): 1, (4, 1): 4}
+    assert sorted(r.doc_id for r in near_dup.without_near_duplicates(docs).collect()) == [1, 4]

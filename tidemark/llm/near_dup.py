@@ -16,7 +16,8 @@ all words as one run if they are fewer. Two documents are linked when 100 * inte
 5. What is left is confirmed on the full sets of both texts.
 
 The number of registers in a band is the largest that misses a pair at the threshold with a
-probability of 1e-8 or less. Rows that repeat an id belong to one node. An empty table gives an
+probability of 1e-8 or less. Rows that repeat an id belong to one node, also with different texts: the
+classes of all its texts are linked. An empty table gives an
 empty result; other columns are not read.
 """
 
@@ -285,7 +286,11 @@ def linked(documents: DataFrame, width: int, percent: int) -> DataFrame:
     shared = bands.groupBy("band").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo <> hi")
     bands = stored(bands.join(shared.select("band", "lo"), "band"))  # buckets of one member are gone
     pairs = bands.where("id <> lo").select(F.col("lo").alias("a"), F.col("id").alias("b")).distinct()
-    links = stored(confirmed(stored(_judged(pairs, known, percent)), documents, width, percent))
+    links = confirmed(stored(_judged(pairs, known, percent)), documents, width, percent)
+    named = members.where("doc_id IS NOT NULL")
+    several = named.groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("_hi")).where("a <> _hi").select("doc_id", "a")
+    same_id = named.join(several, "doc_id").where("rep <> a").select("a", F.col("rep").alias("b")).distinct()
+    links = stored(links.unionByName(same_id))
     labels = components(links)
 
     open_ = _open_groups(bands.select("id", "band"), labels)
