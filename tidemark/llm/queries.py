@@ -6,10 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import bpe, chat, embedding_dup, language, line_quality, mixing, near_dup, quality_rules, toxicity, url_filter
+from tidemark.llm import (
+    bpe, chat, embedding_dup, language, lexical, line_quality, mixing, near_dup, periodic, quality_rules, token_counts, toxicity,
+    url_filter)
 from tidemark.llm.sampling import held_out
 
 TOKENIZER = "byte_bpe_50k.json"
+PIECES = "piece_bpe_32k.model"
 
 # The rules of the URL query.
 URL_RULES = [
@@ -92,17 +95,51 @@ def op10_quality_rules(spark, sf_dir):
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "probability")
 
 
+def op11_lexical_search(spark, sf_dir):
+    return lexical.search(_load(spark, sf_dir, "documents"), _load(spark, sf_dir, "benchmark"), k=10)
+
+
+def looped(documents: DataFrame) -> DataFrame:
+    """doc_id and text; in a tenth of the rows, by a hash of the id, the words from some place on repeat with a period."""
+    h = F.crc32(F.col("doc_id").cast("string"))
+    g = F.floor(h / 10)
+    words = F.regexp_extract_all("text", F.lit(mixing.WORD), F.lit(0))
+
+    def repeated(w):
+        n = F.size(w)
+        a = g % n
+        p = 1 + F.floor((n - a) / (3 + g % 8))
+        tail = F.flatten(F.array_repeat(F.slice(w, (a + 1).cast("int"), p.cast("int")), F.ceil((n - a) / p).cast("int")))
+        return F.array_join(F.slice(F.concat(F.slice(w, F.lit(1), a.cast("int")), tail), F.lit(1), n), " ")
+
+    # An array of one, so that the words are made once.
+    text = F.transform(F.array(words), lambda w: F.when(F.size(w) > 0, repeated(w)).otherwise(F.lit("")))[0]
+    return documents.select("doc_id", F.when((h % 10 == 0) & F.col("text").isNotNull(), text).otherwise(F.col("text")).alias("text"))
+
+
+def op12_periodic_runs(spark, sf_dir):
+    found = periodic.periodic_runs(looped(_load(spark, sf_dir, "documents"))).withColumn("best", periodic.steepest(F.col("runs")))
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(periodic.listed(F.col("runs")), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"), "n_words")
+
+
+def op13_token_counts(spark, sf_dir):
+    return token_counts.token_counts(_load(spark, sf_dir, "documents"), tokenizer_path(PIECES), limit=4096)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_url_filter, op2_minhash_near_dup, op3_source_mix, op4_bpe, op5_toxicity, op6_quality, op7_language,
-        op8_chat_format, op9_embedding_near_dup, op10_quality_rules)}
+        op8_chat_format, op9_embedding_near_dup, op10_quality_rules, op11_lexical_search, op12_periodic_runs, op13_token_counts)}
 
 
 def oracle_sql() -> dict[str, str]:
     """DuckDB statements for the operators that SQL can express."""
     return {
         "op1_url_filter": _URL_SQL, "op2_minhash_near_dup": _NEAR_SQL, "op8_chat_format": _CHAT_SQL,
-        "op9_embedding_near_dup": _EMBEDDING_SQL}
+        "op9_embedding_near_dup": _EMBEDDING_SQL, "op11_lexical_search": _LEXICAL_SQL}
 
 
 _URL_SQL = r"""
@@ -172,3 +209,25 @@ WITH RECURSIVE usable AS (
 SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, coalesce(c, vec_id) AS component_id, vec_id = coalesce(c, vec_id) AS kept
 FROM embeddings LEFT JOIN counts ON v = vec_id LEFT JOIN least ON u = vec_id
 """
+
+_LEXICAL_SQL = r"""
+WITH doc_terms AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents
+), wanted AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS t FROM benchmark
+), held AS (
+  SELECT r, t, count(*) AS tf FROM (SELECT r, unnest(w) AS t FROM doc_terms) WHERE t IN (SELECT t FROM wanted) GROUP BY ALL
+), totals AS (SELECT count(*) FILTER (WHERE len(w) > 0) AS n, sum(len(w))::BIGINT AS l FROM doc_terms),
+weights AS (
+  SELECT t, floor(1000 * ln((2 * any_value(n) + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w FROM held, totals GROUP BY t
+), impacts AS (
+  SELECT doc_id, r, t, weights.w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + (90 * len(d.w) * n) // l))) AS i
+  FROM held JOIN weights USING (t) JOIN doc_terms d USING (r), totals
+), scores AS (
+  SELECT item_id, r, any_value(doc_id) AS doc_id, sum(i)::BIGINT AS score FROM impacts JOIN wanted USING (t) GROUP BY item_id, r HAVING sum(i) > 0
+)
+SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank, doc_id, score
+FROM scores QUALIFY rank <= 10
+"""
