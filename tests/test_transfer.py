@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from tidemark.operators import catalog
 from tidemark.operators import transfer as module
 from tidemark.operators.catalog import SchemaDrift, TableNames
+from tidemark.operators.ledger import Ledger
 from tidemark.operators.mark import Mark, high_water_mark
 from tidemark.operators.transfer import INCREMENT, REFRESH, LoadState, OpenAppend, transfer
 from tidemark.plans.spec import Layout, TransferSpec
@@ -333,7 +334,7 @@ def test_trusted_mark_is_not_looked_up(spark, salaries, monkeypatch):
     transfer(spark, trusting)
     add(spark, trusting, LATER)
     with monkeypatch.context() as patch:
-        patch.setattr(module, "high_water_mark", None)
+        patch.setattr(Ledger, "state", None)
         assert transfer(spark, trusting).rows == 3
         assert transfer(spark, trusting).rows == 0
     cut_off(spark, trusting, partial=False)  # an open append is looked into all the same

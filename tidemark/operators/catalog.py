@@ -16,6 +16,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import SparkSession
 from pyspark.sql.types import StructField, StructType
 
+from tidemark.operators import files
 from tidemark.plans.spec import Layout, check_name
 
 
@@ -85,7 +86,7 @@ def create_table(
     spark: SparkSession, names: TableNames, schema: StructType, layout: Layout = Layout(), live: bool = True
 ) -> None:
     """Create an empty target table."""
-    columns = ", ".join(f"{quoted(f.name)} {f.dataType.simpleString()}" for f in schema.fields)
+    columns = schema.toNullable().toDDL()
     parts = ""
     if layout.partition_by:
         parts = f"PARTITIONED BY ({', '.join(map(quoted, layout.partition_by))})"
@@ -103,18 +104,42 @@ def rename_table(spark: SparkSession, old: str, new: str) -> None:
 
 
 def drop_table(spark: SparkSession, table: str) -> None:
-    """Drop a table, if there is one, and free its files.
+    """Drop a table, if there is one, and free its folder, if that lies in the folder of its database.
 
-    Dropping an external table leaves its files, so they are first overwritten
-    with nothing.
+    The files go first: lost in between, the table is still there to be dropped again.
     """
     if not table_exists(spark, table):
         return
-    empty = spark.createDataFrame([], spark.table(table).schema)
-    empty.write.option("partitionOverwriteMode", "static").insertInto(table, overwrite=True)
+    detail = table_detail(spark, table)
+    location = detail.get("location")
+    if location and detail.get("type") == "EXTERNAL":
+        base = spark.catalog.getDatabase(quoted(detail["namespace"][-1])).locationUri
+        if files.same_place(spark, location).startswith(files.same_place(spark, base) + "/"):
+            files.delete(spark, location)
     spark.sql(f"DROP TABLE IF EXISTS {table}")
 
 
+def sweep(spark: SparkSession, names: TableNames) -> list[str]:
+    """Free folders of versions of an alias that no table of the database has; returns them.
+
+    Loads register a version before they write it, so only a driver lost between the two steps of a drop, or an older one,
+    leaves such folders.
+    """
+    base = spark.catalog.getDatabase(quoted(names.database)).locationUri
+    there = {files.same_place(spark, f): f for f in files.folders(spark, base, f"{names.alias}__v_")}
+
+    def known(tables: Iterable[str]) -> set[str]:
+        return {files.same_place(spark, table_detail(spark, t)["location"]) for t in tables if table_exists(spark, t)}
+
+    if there.keys() <= known((names.live, names.staging, names.previous)):
+        return []
+    every = [f"{quoted(names.database)}.{quoted(t.name)}" for t in spark.catalog.listTables(names.database) if t.tableType != "VIEW" and not t.isTemporary]
+    orphans = sorted(f for place, f in there.items() if place not in known(every))
+    for folder in orphans:
+        files.delete(spark, folder)
+    return orphans
+
+
 def swap_in(spark: SparkSession, names: TableNames) -> None:
     """Make the loaded staging table the live one.
 

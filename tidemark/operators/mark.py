@@ -96,6 +96,11 @@ def low_mark(df: DataFrame, column: str) -> Mark | None:
     return _edge(df, field_of(df.schema, column), F.min)
 
 
+def high_key(df: DataFrame, column: str) -> Mark | None:
+    """The largest value of a column."""
+    return _edge(df, field_of(df.schema, column), F.max)
+
+
 def high_water_mark(spark: SparkSession, table: str, column: str, at_least: Mark | None = None) -> Mark | None:
     """The largest value of a column; None for a table without one.
 

@@ -118,8 +118,12 @@ class TransferSpec:
     ``rescan_ties`` (rows equal to the mark that came late are looked for again)
     and to complete an append that a lost driver left open.
 
-    ``trust_mark`` takes the mark that the last load left, without a look at the
-    rows. It suits targets that nothing but these transfers writes.
+    ``trust_mark`` takes the mark of the listed files, without a look for others.
+    It suits targets that nothing but these transfers writes.
+
+    ``look_first`` looks for a first new row before an append is begun, so a rerun
+    without new rows writes nothing. Turn it off for a query that is dear to begin,
+    such as one with an aggregate: it would run once more.
 
     ``args`` are values for the named parameters of a SQL query.
     """
@@ -136,6 +140,7 @@ class TransferSpec:
     row_key: tuple[str, ...] = ()
     rescan_ties: bool = False
     trust_mark: bool = False
+    look_first: bool = True
     schema: StructType | None = None
     truncate_seconds: bool = False
     args: Mapping[str, object] | None = None
