@@ -64,3 +64,37 @@ def test_columns_without_a_type(spark):
     with pytest.raises(ValueError, match="more"):
         conform(df, schema)
     assert conform(df, schema, drop_unnamed=True).columns == ["id"]
+
+
+LOSES = [
+    ("bigint", 9007199254740993, "double"), ("bigint", 9223372036854775807, "double"), ("int", 16777217, "float"), ("bigint", 16777217, "float"),
+    ("string", "2024-01-01 13:00:00", "date"), ("string", "2024-01-01T00:00:01", "date"), ("double", 9.223372036854775807e18, "bigint"),
+    ("float", 2147483648.0, "int"), ("double", 0.1, "float"), ("double", 1e300, "float"), ("double", 1.5, "int"), ("decimal(10,2)", Decimal("1.25"), "int"),
+    ("string", "1.5", "int"), ("string", "12x", "int"), ("string", "1e400", "double"), ("int", 2, "boolean"), ("bigint", 300, "tinyint"),
+    ("timestamp_ntz", dt.datetime(2024, 1, 1, 1), "date"), ("string", "2024-01-01 00:00:00.1234567", "timestamp_ntz"), ("decimal(38,0)", Decimal(10) ** 37, "decimal(10,0)"),
+]
+KEEPS = [
+    ("bigint", 9007199254740992, "double", 9007199254740992.0), ("int", -16777216, "float", -16777216.0), ("bigint", -(2**63), "double", -(2.0**63)),
+    ("string", "2024-01-01", "date", dt.date(2024, 1, 1)), ("string", " 2024-01-01 00:00:00 ", "date", dt.date(2024, 1, 1)), ("double", 0.5, "float", 0.5),
+    ("string", "12", "int", 12), ("string", " -7 ", "bigint", -7), ("string", "0.1", "double", 0.1), ("string", "1e300", "double", 1e300),
+    ("double", -(2.0**63), "bigint", -(2**63)), ("int", 1, "boolean", True), ("double", float("inf"), "float", float("inf")),
+    ("timestamp_ntz", dt.datetime(2024, 1, 1), "date", dt.date(2024, 1, 1)), ("decimal(10,3)", Decimal("1.255"), "decimal(10,2)", Decimal("1.26")),
+    ("smallint", 7, "bigint", 7), ("date", dt.date(2024, 1, 1), "string", "2024-01-01"),
+]
+
+
+@pytest.mark.parametrize("kind, value, target", LOSES)
+def test_what_would_lose_something_is_refused_and_listed(spark, kind, value, target):
+    schema = StructType.fromDDL(f"x {target}")
+    df = spark.createDataFrame([(value,), (None,)], f"x {kind}")
+    assert [r.rejected for r in rejects(df, schema).collect()] == [["x"]]
+    with pytest.raises(Exception, match="cannot hold"):
+        conform(df, schema).collect()
+
+
+def test_what_fits_is_kept(spark):
+    for kind, value, target, want in KEEPS:
+        schema = StructType.fromDDL(f"x {target}")
+        df = spark.createDataFrame([(value,), (None,)], f"x {kind}")
+        assert rejects(df, schema).isEmpty(), (kind, value, target)
+        assert [r.x for r in conform(df, schema).collect()] == [want, None]

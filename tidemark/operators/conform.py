@@ -4,23 +4,59 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import (
-    DataType, DateType, DecimalType, DoubleType, FloatType, FractionalType, IntegralType, NumericType, StructField,
-    StructType, TimestampNTZType, TimestampType)
+    BooleanType, ByteType, DataType, DateType, DecimalType, DoubleType, FloatType, FractionalType, IntegerType, IntegralType, LongType,
+    NumericType, ShortType, StringType, StructField, StructType, TimestampNTZType, TimestampType)
 
 from tidemark.operators.catalog import quoted
 
+_WIDTHS = {ByteType: 1, ShortType: 2, IntegerType: 4, LongType: 8}
+
 
 def _survives(source: DataType, field: StructField) -> Column:
-    """Whether a cast keeps the value: no fraction, time of day or finite number is lost. Decimals may be rounded."""
+    """Whether a cast keeps the value, for a value that can be cast; only the scale of decimals may be cut.
+
+    By the pair of types:
+
+    * to whole numbers, and from whole numbers to floating point: the value cast back must be the same, and inside the range
+      of the source (2**63 as a double is no bigint, but is cast to the largest one);
+    * between floating point: a finite number stays finite, and a double to float only if it is that float;
+    * to decimals: a finite number; to floating point from decimals: finite;
+    * to dates: a time of day of midnight only, also in text; to boolean: 0, 1 or text that names a truth value;
+    * text to a number: what the number says must be the same as decimals, so no digit is dropped.
+    """
     column, target = F.col(quoted(field.name)), field.dataType
     cast = column.try_cast(target)
+    same = cast.try_cast(source) == column
     if isinstance(target, IntegralType) and isinstance(source, (FractionalType, DecimalType)):
-        return cast.cast(source) == column
+        if isinstance(source, (FloatType, DoubleType)):  # a bound that is no float is rounded up to one
+            return same & (column < F.lit(float(2 ** (8 * _WIDTHS[type(target)] - 1))))
+        return same
+    if isinstance(target, (FloatType, DoubleType)) and isinstance(source, IntegralType):
+        return same & (cast < F.lit(float(2 ** (8 * _WIDTHS[type(source)] - 1))))
+    if isinstance(target, FloatType) and isinstance(source, DoubleType):
+        return same | F.isnan(column)
+    if isinstance(target, (FloatType, DoubleType)) and isinstance(source, DecimalType):
+        return F.abs(cast) != float("inf")
     if isinstance(target, DateType) and isinstance(source, (TimestampType, TimestampNTZType)):
-        return cast.cast(source) == column
-    if isinstance(target, (FloatType, DoubleType)) and isinstance(source, NumericType):
-        return F.abs(cast) != float("inf") if not isinstance(source, (FloatType, DoubleType)) else (
-            (F.abs(cast) != float("inf")) | (F.abs(column) == float("inf")))
+        return same
+    if isinstance(target, BooleanType) and isinstance(source, NumericType):
+        return column.isin(0, 1)
+    if isinstance(source, StringType):
+        text = F.trim(column)
+        if isinstance(target, DateType):
+            return cast.cast("timestamp_ntz") == text.try_cast("timestamp_ntz")
+        if isinstance(target, (IntegralType, FloatType, DoubleType)):
+            exact = text.try_cast("decimal(38,18)")
+            if isinstance(target, IntegralType):
+                return exact == cast.cast("decimal(38,18)")
+            # Beyond what a decimal holds, and for text in another form, the value itself is all there is.
+            finite = F.abs(cast) != float("inf")
+            named = F.lower(text).rlike("inf|nan")
+            return named | finite
+        if isinstance(target, TimestampNTZType):
+            return ~text.rlike(r"\.\d{7}")  # a stamp holds microseconds
+        if isinstance(target, TimestampType):
+            return ~text.rlike(r"\.\d{7}")
     return F.lit(True)
 
 
