@@ -14,6 +14,7 @@ An empty list of rules allows everything.
 from __future__ import annotations
 
 import math
+import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -37,8 +38,9 @@ def path_of(url: Column) -> Column:
     return F.coalesce(F.regexp_extract(url, r"(?s)^.*?://[^/?#]*([^?#]*)", 1), F.lit(""))
 
 
-def _hashed(key: Column) -> list[Column]:
-    return [F.xxhash64(key).alias("h1"), F.xxhash64(F.reverse(key), F.lit(1)).alias("h2")]
+def _hashed(host: Column, path: Column) -> list[Column]:
+    """Two hashes of a host and a path as two values, so that ("example.co", "m/") is not ("example.com", "/")."""
+    return [F.xxhash64(host, path).alias("h1"), F.xxhash64(F.reverse(path), F.lit(1), F.reverse(host)).alias("h2")]
 
 
 def keys_of(host: Column, path: Column, lengths: list[int]) -> Column:
@@ -51,8 +53,7 @@ def keys_of(host: Column, path: Column, lengths: list[int]) -> Column:
     begun = F.filter(begun, lambda p: p.isNotNull())
 
     def key(parent, beginning):
-        text = F.concat(parent, beginning)
-        return F.struct(text.alias("rule"), F.length(parent).alias("host_chars"), *_hashed(text))
+        return F.struct(F.concat(parent, beginning).alias("rule"), F.length(parent).alias("host_chars"), *_hashed(parent, beginning))
 
     made = F.flatten(F.transform(parents, lambda h: F.transform(begun, lambda p: key(h, p))))
     return F.when(host != "", made)
@@ -173,18 +174,19 @@ def judge(pages: DataFrame, rules: DataFrame, url: str = "url", other: str = ALL
         keys = F.lit(None).cast("array<struct<rule:string,host_chars:int,h1:bigint,h2:bigint>>")
     universe = pages.select(host.alias("host"), path.alias("path")).select(F.explode(keys).alias("k")).select("k.h1", "k.h2")
     # Of rules that repeat with different verdicts, a block counts.
-    listed = rules.select(F.concat("host", "path").alias("rule"), "verdict").groupBy("rule").agg(
-        F.max(F.col("verdict") == BLOCK).alias("blocked")).select(*_hashed(F.col("rule")), "blocked")
+    listed = rules.groupBy("host", "path").agg(F.max(F.col("verdict") == BLOCK).alias("blocked")).select(
+        *_hashed(F.col("host"), F.col("path")), "blocked")
     member = build(listed, universe, max_bytes)
     block = build(listed.where("blocked"), listed, max_bytes)
     sent = spark.sparkContext.broadcast((member.levels, block.levels))
 
     kept = [f for f in pages.schema.fields if f.name not in ("host", "path", "rule", "verdict")]
+    made = f"own_{uuid.uuid4().hex}"  # a name that no table has
 
     def longest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         member, block = (Cascade(x) for x in sent.value)
         for batch in batches:
-            column = batch.column("_keys")
+            column = batch.column(made)
             flat, ends = column.flatten(), np.concatenate([[0], np.cumsum(column.value_lengths().fill_null(0).to_numpy())])
             h1, h2 = (flat.field(c).to_numpy(zero_copy_only=False) for c in ("h1", "h2"))
             hit = np.flatnonzero(member.contains(h1, h2))
@@ -199,10 +201,10 @@ def judge(pages: DataFrame, rules: DataFrame, url: str = "url", other: str = ALL
             for row, k in best.items():
                 rule[row], verdict[row] = names[k], BLOCK if blocked[k] else ALLOW
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in batch.schema.names if c != "_keys"), pa.array(rule, pa.string()), pa.array(verdict, pa.string())],
-                [*(c for c in batch.schema.names if c != "_keys"), "rule", "verdict"])
+                [*(batch.column(c) for c in batch.schema.names if c != made), pa.array(rule, pa.string()), pa.array(verdict, pa.string())],
+                [*(c for c in batch.schema.names if c != made), "rule", "verdict"])
 
     schema = ", ".join([
         *(f"`{f.name}` {f.dataType.simpleString()}" for f in kept), "host string, path string, rule string, verdict string"])
     return pages.select(*(F.col(f"`{f.name}`") for f in kept), host.alias("host"), path.alias("path")).withColumn(
-        "_keys", keys).mapInArrow(longest, schema)
+        made, keys).mapInArrow(longest, schema)
