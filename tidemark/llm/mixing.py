@@ -16,6 +16,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F, Window as W
 
+from tidemark.llm.prefilter import own_name
 from tidemark.llm.store import stored
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -132,12 +133,11 @@ def mix(
 
 
 def repeated(documents: DataFrame, mixed: DataFrame) -> DataFrame:
-    """The rows of ``documents``, each as often as the mix takes it."""
+    """The rows of ``documents``, each as often as the mix takes it, with all their columns, whatever these are called."""
+    doc, source, kind, times, turn = (own_name() for _ in range(5))
     own = mixed.where("repeats > 0").select(
-        F.col("doc_id").alias("_id"), F.col("source").alias("_from"), F.col("checksum").alias("_sum"), "repeats").distinct()
+        F.col("doc_id").alias(doc), F.col("source").alias(source), F.col("checksum").alias(kind), F.col("repeats").alias(times)).distinct()
     same = (
-        F.col("doc_id").eqNullSafe(F.col("_id")) & F.col("source").eqNullSafe(F.col("_from"))
-        & (checksum(F.col("text")) == F.col("_sum")))
+        F.col("doc_id").eqNullSafe(F.col(doc)) & F.col("source").eqNullSafe(F.col(source)) & (checksum(F.col("text")) == F.col(kind)))
     return documents.join(own, same).select(
-        *(F.col(f"`{c}`") for c in documents.columns), F.explode(F.sequence(F.lit(1), F.col("repeats").cast("int"))).alias("_turn")
-    ).drop("_turn")
+        *(F.col(f"`{c}`") for c in documents.columns), F.explode(F.sequence(F.lit(1), F.col(times).cast("int"))).alias(turn)).drop(turn)

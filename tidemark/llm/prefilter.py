@@ -5,6 +5,8 @@ A join that needs a few of many rows moves only about those; whatever passes wro
 
 from __future__ import annotations
 
+import uuid
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
@@ -15,8 +17,13 @@ from tidemark.llm.url_filter import Cascade, _filled
 MAX_BITS = 1 << 26  # 8 MB; a hundredth of other ids pass with up to 6 million ids, more of them beyond
 
 
-def marked(rows: DataFrame, column: str, ids: DataFrame, name: str = "_may", max_bits: int = MAX_BITS) -> DataFrame:
-    """``rows`` with a boolean: false only if ``column`` is in no row of ``ids``, a frame of one column; null is false."""
+def own_name() -> str:
+    """A name for a column that no table has."""
+    return f"own_{uuid.uuid4().hex}"
+
+
+def marked(rows: DataFrame, column: str, ids: DataFrame, name: str, max_bits: int = MAX_BITS) -> DataFrame:
+    """``rows`` with a boolean ``name``: false only if ``column`` is in no row of ``ids``, a frame of one column; null is false."""
     hashed = lambda c: [F.xxhash64(F.lit(23), c).alias("h1"), F.xxhash64(F.lit(29), c).alias("h2")]
     keys = ids.select(*hashed(F.col(ids.columns[0])))
     bits = int(min(max_bits, max(64, 10 * ids.count())))
@@ -31,17 +38,15 @@ def marked(rows: DataFrame, column: str, ids: DataFrame, name: str = "_may", max
 
 def only(rows: DataFrame, column: str, ids: DataFrame) -> DataFrame:
     """The rows whose ``column`` is in ``ids``, a frame of one column; each as often as it was."""
-    names = rows.columns
-    some = marked(rows, column, ids).where("_may").select(*(f"`{n}`" for n in names))
-    wanted = ids.select(F.col(ids.columns[0]).alias("_wanted"))
-    return some.join(wanted, some[column] == wanted["_wanted"], "left_semi")
+    may, wanted = own_name(), own_name()
+    some = marked(rows, column, ids, may).where(F.col(may)).drop(may)
+    return some.join(ids.select(F.col(ids.columns[0]).alias(wanted)), F.col(column) == F.col(wanted), "left_semi")
 
 
 def without(rows: DataFrame, column: str, ids: DataFrame) -> DataFrame:
     """The rows whose ``column`` is null or not in ``ids``. Rows that cannot be in it are not moved."""
-    names = [f"`{n}`" for n in rows.columns]
-    split = marked(rows, column, ids)
-    unsure = split.where("_may").select(*names)
-    unwanted = ids.select(F.col(ids.columns[0]).alias("_unwanted"))
-    return split.where("NOT _may").select(*names).unionByName(
-        unsure.join(unwanted, unsure[column] == unwanted["_unwanted"], "left_anti"))
+    may, unwanted = own_name(), own_name()
+    split = marked(rows, column, ids, may)
+    unsure = split.where(F.col(may)).drop(may)
+    return split.where(~F.col(may)).drop(may).unionByName(
+        unsure.join(ids.select(F.col(ids.columns[0]).alias(unwanted)), F.col(column) == F.col(unwanted), "left_anti"))
