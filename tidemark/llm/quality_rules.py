@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 
 from tidemark.llm.sampling import fit_logistic, labelled_sample, logistic
 from tidemark.llm.scoring import scored
-from tidemark.llm.words import SPACE, Block, Words, mix, windows
+from tidemark.llm.words import SPACE, Block, Words, chains, mix, windows
 
 WIDTH = 1 << 18
 SCALE = 20.0
@@ -114,7 +114,7 @@ def judge(model: RuleModel, texts: list[bytes]) -> list[pa.Array]:
     hashes = words.hashes(block)
     n_words = words.counts()
     # Runs of three words that occur again in their text; each word of one counts once.
-    runs, at = windows(words, hashes, 3)
+    runs, at = chains(words, words.strong_hashes(block), 3)
     _, inverse, count = np.unique(
         mix(runs + words.text[at].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15), 31), return_inverse=True, return_counts=True)
     again = at[count[inverse] > 1] if len(at) else at

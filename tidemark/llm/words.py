@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -108,6 +109,22 @@ class Words:
         np.cumsum(values * up[:-1], out=total[1:])
         return mix((total[self.end] - total[self.start]) * down[self.start])
 
+    def strong_hashes(self, block: Block, lower: bool = False) -> np.ndarray:
+        """A hash of each word, made of the whole word by a function without structure; ``lower``: with A-Z as a-z.
+
+        Equal words are found by their bytes first, so that each is hashed once.
+        """
+        n = len(self.start)
+        if not n:
+            return np.zeros(0, np.uint64)
+        data = LOWER.astype(np.uint8)[block.data] if lower else block.data
+        edges = np.empty(2 * n, np.int32)  # words and what lies between them take turns
+        edges[::2], edges[1::2] = self.start, self.end
+        slices = pa.Array.from_buffers(pa.binary(), 2 * n - 1, [None, pa.py_buffer(edges), pa.py_buffer(data)])
+        known = slices.dictionary_encode()
+        made = b"".join([blake2b(w, digest_size=8).digest() for w in known.dictionary.to_pylist()])
+        return np.frombuffer(made, "<u8")[known.indices.to_numpy()[::2]]
+
     def core_hashes(self, block: Block, prefixes: tuple[int, ...] = ()) -> list[np.ndarray]:
         """A hash of the lower-cased letters of each word, without what else it holds; 0: no letter.
 
@@ -143,6 +160,27 @@ def windows(words: Words, hashes: np.ndarray, width: int) -> tuple[np.ndarray, n
     return mix(total, width), at
 
 
+def chains(words: Words, hashes: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Like ``windows``, but each word goes through the hash of those before it, so no sum of words stands for another."""
+    n = len(hashes)
+    if n < width:
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    at = np.flatnonzero(words.text[: n - width + 1] == words.text[width - 1:])
+    total = np.full(len(at), width, np.uint64)
+    for k in range(width):
+        total = mix(total ^ hashes[at + k], k)
+    return total, at
+
+
+def chained(words: Words, hashes: np.ndarray, text: int) -> np.ndarray:
+    """One hash of all words of a text, for texts too short for a chain of some width."""
+    row = hashes[words.first[text]:words.first[text + 1]]
+    total = np.array([1000 + len(row)], np.uint64)
+    for k, word in enumerate(row):
+        total = mix(total ^ word, k)
+    return total
+
+
 def whole(words: Words, hashes: np.ndarray, text: int) -> np.ndarray:
     """One hash of all words of a text, for texts too short for a window."""
     row = hashes[words.first[text]:words.first[text + 1]]
