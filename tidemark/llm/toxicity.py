@@ -26,10 +26,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.llm.crf import Crf, fit
-from tidemark.llm.prefilter import marked
 from tidemark.llm.sampling import fit_logistic, labelled_sample, logistic, usable_labels
 from tidemark.llm.scoring import scored
 from tidemark.llm.store import stored
+from tidemark.llm.url_filter import Cascade, build
 from tidemark.llm.words import Block, Words, blocks, mix
 
 WIDTH = 1 << 18
@@ -37,6 +37,7 @@ PREFIXES = (4, 5, 6, 7)  # bytes of a word's beginning
 CELLS = ["a0", "a1", "b0", "b1"]  # toxic, then other documents, of each half
 # Likelihood ratio, and ratio of the frequencies for a word and for a beginning; the strictest first.
 BOUNDS = [(g, *r) for g in (30.0, 20.0, 14.0, 10.0) for r in ((8.0, 20.0), (4.0, 8.0), (2.0, 4.0))]
+MOST_LABELLED = 1 << 26  # ids in cascades of some bits each; of more, texts are joined with their labels
 MOST_LISTED = 1 << 21  # 100 MB with their counts on the driver, 16 MB in the model
 
 
@@ -73,15 +74,38 @@ def which_listed(hashes: list[np.ndarray], listed: list[np.ndarray]) -> np.ndarr
     return bits
 
 
+def _hashed(doc_id: Column) -> list[Column]:
+    return [F.xxhash64(F.lit(41), doc_id).alias("h1"), F.xxhash64(F.lit(43), doc_id).alias("h2")]
+
+
 def document_frequencies(documents: DataFrame, labels: DataFrame, label: str = "toxic") -> DataFrame:
     """kind (0 a word, k its k-th beginning), word and in how many labelled training rows it is, by label and half.
 
     Whole texts of all rows count, equal texts in the same half. The rows of kind -1 add up to the numbers of documents.
     """
-    usable = usable_labels(labels, label).select(F.col("doc_id").alias("_id"), "label")
-    rows = marked(documents.select("doc_id", F.col("text").cast("string").alias("text")), "doc_id", usable.select("_id"))
-    cell = (2 * (1 - F.col("label")) + F.crc32("text") % 2).cast("int")
-    rows = rows.where("_may AND text IS NOT NULL").join(usable, F.col("doc_id") == F.col("_id")).select(cell.alias("cell"), "text")
+    usable = stored(usable_labels(labels, label))
+    text = F.col("text").cast("string")
+    rows = documents.where("doc_id IS NOT NULL AND text IS NOT NULL").select(
+        *_hashed(F.col("doc_id")), (F.crc32(text) % 2).cast("int").alias("half"), text.alias("text"))
+    if usable.count() <= MOST_LABELLED:
+        # Exact over all ids, so no text is moved to its label: which rows are labelled, and which of these are toxic.
+        named = usable.select(*_hashed(F.col("doc_id")), "label")
+        levels = build(named, documents.select(*_hashed(F.col("doc_id")))).levels, build(named.where("label = 1"), named).levels
+    else:
+        levels = None
+        rows = rows.join(usable.select(*_hashed(F.col("doc_id")), "label"), ["h1", "h2"])
+    sent = documents.sparkSession.sparkContext.broadcast(levels)
+
+    def cells_of(batch: pa.RecordBatch) -> tuple[pa.RecordBatch, np.ndarray]:
+        """The labelled rows of a batch, and the cell each counts in."""
+        if sent.value is None:
+            toxic = batch.column("label").to_numpy() == 1
+        else:
+            member, positive = (Cascade(x) for x in sent.value)
+            h1, h2 = (batch.column(c).to_numpy() for c in ("h1", "h2"))
+            known = member.contains(h1, h2)
+            batch, toxic = batch.filter(pa.array(known)), positive.contains(h1[known], h2[known])
+        return batch, 2 * (~toxic).astype(np.int64) + batch.column("half").to_numpy()
 
     def merged(parts: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, ...]:
         kind, word, count = (np.concatenate(x) for x in zip(*parts, strict=True))
@@ -98,7 +122,7 @@ def document_frequencies(documents: DataFrame, labels: DataFrame, label: str = "
         parts: list[tuple[np.ndarray, ...]] = []
         held = 0
         for batch in batches:
-            cells = batch.column("cell").to_numpy()
+            batch, cells = cells_of(batch)
             for at, texts in blocks(batch.column("text")):
                 own = cells[at:at + len(texts)]
                 block = Block.of(texts)
