@@ -16,7 +16,8 @@ all words as one run if they are fewer. Two documents are linked when 100 * inte
 5. What is left is confirmed on the full sets of both texts.
 
 The number of registers in a band is the largest that misses a pair at the threshold with a
-probability of 1e-8 or less. Rows that repeat an id belong to one node, also with different texts: the
+probability of 1e-8 or less. Sets are compared by 64-bit hashes: words by BLAKE2, shingles by a chain over their words, and classes are
+formed by 128 bits of BLAKE2 over the whole set. Rows that repeat an id belong to one node, also with different texts: the
 classes of all its texts are linked. An empty table gives an
 empty result; other columns are not read.
 """
@@ -24,6 +25,7 @@ empty result; other columns are not read.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from hashlib import blake2b
 
 import numpy as np
 import pandas as pd
@@ -32,9 +34,9 @@ from pyspark.sql import DataFrame, functions as F
 
 from tidemark.llm.components import components, joined
 from tidemark.llm.prefilter import only, without
-from tidemark.llm.store import stored
+from tidemark.llm.store import freed, stored
 from tidemark.llm.tiles import tiled
-from tidemark.llm.words import Block, Words, blocks, mix, whole, windows
+from tidemark.llm.words import Block, Words, blocks, chained, chains, mix
 
 BUCKET_BITS = 8
 BUCKETS = 1 << BUCKET_BITS
@@ -53,14 +55,14 @@ def shingle_sets(texts: list[bytes], width: int) -> Iterator[np.ndarray]:
     """The distinct shingle hashes of each text, in order."""
     block = Block.of(texts)
     words = Words.of(block)
-    hashes = words.hashes(block, lower=True)
-    grams, at = windows(words, hashes, width)
+    hashes = words.strong_hashes(block, lower=True)
+    grams, at = chains(words, hashes, width)
     first = np.searchsorted(at, words.first)
     for i, n in enumerate(words.counts()):
         if n >= width:
             yield np.unique(grams[first[i]:first[i + 1]])
         elif n:
-            yield whole(words, hashes, i)
+            yield chained(words, hashes, i)
         else:
             yield np.zeros(0, np.uint64)
 
@@ -114,10 +116,7 @@ def plausible(equal: np.ndarray, na: np.ndarray, nb: np.ndarray, percent: int) -
 
 
 def sketches(documents: DataFrame, width: int, percent: int) -> DataFrame:
-    """doc_id, n_shingles, digest (two longs), registers and bands of every document."""
-    size = band_size(percent)
-    bands = BUCKETS // size
-    scale = np.random.default_rng(6).integers(1, 1 << 63, (bands, size), dtype=np.uint64) | np.uint64(1)
+    """doc_id, n_shingles, digest (two longs) and registers of every document."""
     # A smaller set reaches the threshold with an equal one only.
     least = next(n for n in range(1, 101) if 100 * n >= percent * (n + 1)) if percent < 100 else 1 << 62
 
@@ -125,34 +124,45 @@ def sketches(documents: DataFrame, width: int, percent: int) -> DataFrame:
         for batch in batches:
             ids = batch.column("doc_id")
             for at, texts in blocks(batch.column("text")):
-                counts, digests, held, hashed = [], [], [], []
+                counts, digests, held = [], [], []
                 for unique in shingle_sets(texts, width):
                     n = len(unique)
                     counts.append(n)
-                    digests.append((mix(unique, 1).sum(dtype=np.uint64), mix(unique, 2).sum(dtype=np.uint64)))
-                    if n >= least:
-                        row = sketch(unique)
-                        held.append(row.tobytes())
-                        cut = row[: bands * size].reshape(bands, size).astype(np.uint64)
-                        hashed.append(mix((cut * scale).sum(axis=1, dtype=np.uint64) + np.arange(bands, dtype=np.uint64)).view(np.int64))
-                    else:
-                        held.append(None)
-                        hashed.append(None)
+                    digests.append(np.frombuffer(blake2b(unique.tobytes(), digest_size=16).digest(), np.uint64))
+                    held.append(sketch(unique).tobytes() if n >= least else None)
                 d = np.array(digests, np.uint64).reshape(-1, 2).view(np.int64)
                 yield pa.RecordBatch.from_arrays([
                     ids.slice(at, len(texts)), pa.array(counts, pa.int64()), pa.array(d[:, 0]), pa.array(d[:, 1]),
-                    pa.array(held, pa.binary()), pa.array(hashed, pa.list_(pa.int64()))],
-                    ["doc_id", "n_shingles", "d1", "d2", "registers", "bands"])
+                    pa.array(held, pa.binary())], ["doc_id", "n_shingles", "d1", "d2", "registers"])
 
     kind = documents.schema["doc_id"].dataType.simpleString()
     return documents.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(
-        run, f"doc_id {kind}, n_shingles long, d1 long, d2 long, registers binary, bands array<long>")
+        run, f"doc_id {kind}, n_shingles long, d1 long, d2 long, registers binary")
+
+
+def banded(known: DataFrame, percent: int) -> DataFrame:
+    """id with a hash of each band of the registers, a row each."""
+    size = band_size(percent)
+    bands = BUCKETS // size
+    scale = np.random.default_rng(6).integers(1, 1 << 63, (bands, size), dtype=np.uint64) | np.uint64(1)
+    kind = known.schema["id"].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in (b.slice(at, 1024) for b in batches for at in range(0, len(b), 1024)):
+            rows = np.frombuffer(b"".join(batch.column("registers").to_pylist()), np.uint16).reshape(-1, BUCKETS)
+            cut = rows[:, : bands * size].reshape(-1, bands, size).astype(np.uint64)
+            made = mix((cut * scale).sum(axis=2, dtype=np.uint64) + np.arange(bands, dtype=np.uint64)).view(np.int64)
+            own = pa.array(np.repeat(np.arange(len(batch)), bands))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("id").take(own), pa.array(made.reshape(-1))], ["id", "band"])
+
+    return known.select("id", "registers").mapInArrow(run, f"id {kind}, band long")
 
 
 def _judged(pairs: DataFrame, known: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) whose sketches leave them a chance."""
-    left = known.select(F.col("id").alias("a"), F.col("registers").alias("ra"), F.col("n").alias("na"))
-    right = known.select(F.col("id").alias("b"), F.col("registers").alias("rb"), F.col("n").alias("nb"))
+    sizes = [known.select(F.col("id").alias(side), F.col("n").alias(f"n{side}")) for side in "ab"]
+    left, right = (known.select(F.col("id").alias(side), F.col("registers").alias(f"r{side}")) for side in "ab")
 
     def run(batches):
         for batch in batches:
@@ -162,11 +172,12 @@ def _judged(pairs: DataFrame, known: DataFrame, percent: int) -> DataFrame:
 
     kind = known.schema["id"].dataType.simpleString()
     fits = F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent
-    return pairs.join(left, "a").join(right, "b").where(fits).mapInArrow(run, f"a {kind}, b {kind}").distinct()
+    some = pairs.join(sizes[0], "a").join(sizes[1], "b").where(fits)  # before any sketch is moved
+    return some.join(left, "a").join(right, "b").mapInArrow(run, f"a {kind}, b {kind}").distinct()
 
 
 def confirmed(pairs: DataFrame, documents: DataFrame, width: int, percent: int) -> DataFrame:
-    """Pairs (a, b) that are linked by the full sets of their texts."""
+    """Pairs (a, b) that are linked by the full sets of their texts, written."""
     texts = documents.select(F.col("doc_id").alias("id"), F.col("text").cast("string").alias("text"))
     need = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
     # Else the join moves all texts. Written, so that no task runs two Python functions at once.
@@ -186,18 +197,21 @@ def confirmed(pairs: DataFrame, documents: DataFrame, width: int, percent: int)
             yield batch.select(["a", "b"]).filter(pa.array(keep))
 
     kind = pairs.schema["a"].dataType.simpleString()
-    return both.mapInArrow(run, f"a {kind}, b {kind}").distinct()
+    found = stored(both.mapInArrow(run, f"a {kind}, b {kind}").distinct())
+    freed(texts)
+    return found
 
 
 def _open_groups(bands: DataFrame, labels: DataFrame) -> DataFrame:
     """Members (band, id, component) of the buckets that hold several components."""
-    named = bands.join(labels.select("id", "component"), "id", "left").withColumn("component", F.coalesce("component", "id"))
+    named = bands.select("band", "id").join(labels.select("id", "component"), "id", "left").withColumn(
+        "component", F.coalesce("component", "id"))
     mixed = named.groupBy("band").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("band")
     return stored(named.join(mixed, "band", "left_semi"))
 
 
-def full_sets(documents: DataFrame, ids: DataFrame, width: int) -> DataFrame:
-    """id, n and the set of 64-bit hashes, of the documents in ``ids``."""
+def full_sets(documents: DataFrame, ids: DataFrame, width: int) -> tuple[DataFrame, DataFrame]:
+    """The texts of the documents in ``ids``, written, and of these id, n and the set of 64-bit hashes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -210,7 +224,8 @@ def full_sets(documents: DataFrame, ids: DataFrame, width: int) -> DataFrame:
 
     kind = ids.schema["id"].dataType.simpleString()
     texts = documents.select(F.col("doc_id").alias("id"), F.col("text").cast("string").alias("text"))
-    return stored(only(texts, "id", ids)).mapInArrow(run, f"id {kind}, n long, shingles array<long>")
+    texts = stored(only(texts, "id", ids))
+    return texts, texts.mapInArrow(run, f"id {kind}, n long, shingles array<long>")
 
 
 def common_counts(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, columns: int = 2048) -> np.ndarray:
@@ -250,16 +265,16 @@ def joining(
 
 
 def _residual(members: DataFrame, documents: DataFrame, width: int, percent: int) -> DataFrame:
-    """Pairs that join the different components left in one bucket, found tile by tile.
+    """Pairs that join the different components left in one bucket, found tile by tile, written.
 
     Each tile compares whole sets by the hashes that also confirm pairs, so that what it finds is linked, and gives
     no more pairs than it takes to join its rows.
     """
     # Buckets of the same members need one look.
-    same = members.groupBy("band").agg(
-        F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("id") % (1 << 40)).alias("h"), F.min("id").alias("m"))
-    one = same.groupBy("n", "h", "m").agg(F.min("band").alias("band"))
-    sets = full_sets(documents, members.select("id").distinct(), width)
+    sums = (F.sum(F.xxhash64(F.lit(salt), F.col("id")).cast("decimal(38,0)")).alias(f"h{salt}") for salt in (1, 2))
+    same = members.groupBy("band").agg(F.count(F.lit(1)).alias("n"), *sums, F.min("id").alias("m"))
+    one = same.groupBy("n", "h1", "h2", "m").agg(F.min("band").alias("band"))
+    texts, sets = full_sets(documents, members.select("id").distinct(), width)
     rows = members.join(one.select("band"), "band", "left_semi").join(sets, "id")
     kind = members.schema["id"].dataType.simpleString()
 
@@ -268,7 +283,9 @@ def _residual(members: DataFrame, documents: DataFrame, width: int, percent: int
             pdf["id"].to_numpy(), pdf["n"].to_numpy(), pdf["component"].to_numpy(), pdf["shingles"].tolist(), left, right, percent)
         return pd.DataFrame(made, columns=["a", "b"], dtype=pdf["id"].dtype)
 
-    return tiled(rows, ["band"], compare, f"a {kind}, b {kind}", 512, "n", 2 << 20).distinct()
+    found = stored(tiled(rows, ["band"], compare, f"a {kind}, b {kind}", 512, "n", 2 << 20).distinct())
+    freed(texts)
+    return found
 
 
 def linked(documents: DataFrame, width: int, percent: int) -> DataFrame:
@@ -281,8 +298,9 @@ def linked(documents: DataFrame, width: int, percent: int) -> DataFrame:
     members = stored(members)
     reps = members.where("doc_id = rep AND n_shingles > 0").select("doc_id").distinct()
     known = stored(made.where("registers IS NOT NULL").join(reps, "doc_id", "left_semi").select(
-        F.col("doc_id").alias("id"), F.col("n_shingles").alias("n"), "registers", "bands"))
-    bands = known.select("id", F.explode("bands").alias("band"))
+        F.col("doc_id").alias("id"), F.col("n_shingles").alias("n"), "registers"))
+    freed(made)  # what is needed of it has been written
+    bands = banded(known, percent)
     shared = bands.groupBy("band").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo <> hi")
     bands = stored(bands.join(shared.select("band", "lo"), "band"))  # buckets of one member are gone
     pairs = bands.where("id <> lo").select(F.col("lo").alias("a"), F.col("id").alias("b")).distinct()
@@ -293,16 +311,18 @@ def linked(documents: DataFrame, width: int, percent: int) -> DataFrame:
     links = stored(links.unionByName(same_id))
     labels = components(links)
 
-    open_ = _open_groups(bands.select("id", "band"), labels)
+    open_ = _open_groups(bands, labels)
+    freed(bands)
     if not open_.isEmpty():
         center = open_.groupBy("band").agg(F.max(F.struct("component", "id")).alias("c"))
         pairs = open_.join(center, "band").where("component <> c.component").select(
             F.least("id", "c.id").alias("a"), F.greatest("id", "c.id").alias("b")).distinct()
-        more = stored(confirmed(stored(_judged(pairs, known, percent)), documents, width, percent))
+        more = confirmed(stored(_judged(pairs, known, percent)), documents, width, percent)
+        freed(known)
         if not more.isEmpty():
             labels = joined(labels, more)
-            open_ = _open_groups(open_.select("id", "band"), labels)
-        rest = stored(confirmed(stored(_residual(open_, documents, width, percent)), documents, width, percent))
+            open_ = _open_groups(open_, labels)
+        rest = confirmed(_residual(open_, documents, width, percent), documents, width, percent)
         if not rest.isEmpty():
             labels = joined(labels, rest)
     return members.join(labels.withColumnRenamed("id", "rep"), "rep", "left").select(
