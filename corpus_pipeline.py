@@ -15,9 +15,18 @@ from tidemark.llm.store import stored
 
 LEAST_QUALITY = 0.5
 
+# Whole rows go through Python and are written by every stage. Smaller Arrow batches and row groups bound what a task holds of them.
+SETTINGS = {"spark.sql.execution.arrow.maxBytesPerBatch": str(8 << 20), "parquet.block.size": str(32 << 20)}
+
+
+def _modest(spark: SparkSession) -> SparkSession:
+    for name, value in SETTINGS.items():
+        spark.conf.set(name, value)
+    return spark
+
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+    return _modest(spark).read.parquet(f"{sf_dir}/documents.parquet")
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -33,16 +42,19 @@ def classify_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies: five words to a shingle, a similarity of 0.8."""
+    _modest(spark)
     return near_dup.without_near_duplicates(docs, width=5, percent=80)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them; what it does not take goes."""
+    _modest(spark)
     return mixing.repeated(docs, mixing.mix(docs))
 
 
 def encode_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, lang and source with the token ids of the text, their number, and whether they decode to it."""
+    _modest(spark)
     path = tokenizer_path()
     known = docs.select("doc_id", "lang", "source", F.crc32(F.coalesce("text", F.lit(""))).alias("crc"), "text")
     rows = bpe.decoded(stored(bpe.encoded(known, path)), path)  # written, so that a task runs one Python function
