@@ -162,3 +162,20 @@ def test_a_new_checkpoint_at_the_old_path(spark, feed, spec):
     add(5, 8)
     once(rows, spec, checkpoint)
     assert ids(spark, spec) == list(range(8))
+
+
+def test_repeated_runs_log_statistics_and_tell_progress(spark, database):
+    heard, results = [], []
+    spec = TransferSpec(alias="t", database=database, frame=lambda s: s.range(5), interval="PT1S")
+    run_log = f"{database}.runs"
+    query = repeat_transfer(
+        spark, spec, fresh_folder(spark), listener=results.append, run_log=run_log, with_stats=True, progress=heard.append)
+    try:
+        deadline = time.monotonic() + 60
+        while (len(results) < 2 or not spark.catalog.tableExists(run_log)) and time.monotonic() < deadline:
+            time.sleep(0.2)
+    finally:
+        query.stop()
+    first = spark.table(run_log).where("status = 'success'").orderBy("started").first()
+    assert first.table_stats.rows == 5 and first.table_stats.last_modified is not None
+    assert heard and heard[0].alias == "t"

@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from tidemark.functions import measures
 from tidemark.functions.literals import literal_frame
 from tidemark.operators.catalog import TableNames, table_exists
+from tidemark.operators.progress import LoadProgress
 from tidemark.operators.stats import STATS_SCHEMA, table_stats
 from tidemark.operators.steps import apply_steps
 from tidemark.operators.transfer import TransferResult, transfer
@@ -94,12 +95,13 @@ def logged_run(
     run_log: str | None = None,
     listener: Callable[[TransferResult], None] | None = None,
     with_stats: bool = False,
+    progress: Callable[[LoadProgress], bool | None] | None = None,
 ) -> tuple[tuple, Exception | None]:
     """Run a transfer and log it; returns its row and, if it failed, the error."""
     started = datetime.now(timezone.utc)
     error = None
     try:
-        result = transfer(spark, spec, listener)
+        result = transfer(spark, spec, listener, progress=progress)
     except Exception as failure:  # given to the caller, which decides whether to go on
         error = failure
         run = (spec.alias, None, started, datetime.now(timezone.utc), None, FAILURE, None, str(failure), None)
@@ -126,10 +128,11 @@ def run_transfers(
     step_log: str | None = None,
     listener: Callable[[TransferResult], None] | None = None,
     with_stats: bool = False,
+    progress: Callable[[LoadProgress], bool | None] | None = None,
 ) -> DataFrame:
     """Run transfers one after the other, each between its before and after steps.
 
-    ``names`` keeps the listed aliases; without it all are run. Returns a row per
+    ``names`` keeps the listed aliases; without it all are run. ``progress`` hears of each load while it runs. Returns a row per
     run, which is also appended to ``run_log``. A failure is logged and ends the
     call.
     """
@@ -148,7 +151,7 @@ def run_transfers(
         target = TableNames.of(spark, spec.alias, spec.database).live
         if own:
             apply_steps(spark, spec.alias, own, BEFORE, step_log, target)
-        run, error = logged_run(spark, spec, run_log, listener, with_stats)
+        run, error = logged_run(spark, spec, run_log, listener, with_stats, progress)
         runs.append(run)
         if error is not None:
             raise error

@@ -11,6 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tidemark.operators import catalog
 from tidemark.operators.catalog import TableNames, quoted
 from tidemark.operators.mark import low_mark
+from tidemark.operators.progress import LoadProgress
 from tidemark.operators.runlog import logged_run
 from tidemark.operators.transfer import TransferResult, append_rows, without_present
 from tidemark.plans.spec import TransferSpec, trigger_interval
@@ -88,12 +89,15 @@ def repeat_transfer(
     listener: Callable[[TransferResult], None] | None = None,
     on_error: Callable[[Exception], None] | None = None,
     run_log: str | None = None,
+    with_stats: bool = False,
+    progress: Callable[[LoadProgress], bool | None] | None = None,
 ) -> StreamingQuery:
     """Repeat a transfer at the interval of its spec, until the query is stopped.
 
     For sources that cannot be read as a stream. The first run starts at once,
     runs never overlap, and one that fails is logged and tried again the next
-    time, from the mark of the target. Every run is appended to ``run_log``.
+    time, from the mark of the target. Every run is appended to ``run_log``, ``with_stats`` with the
+    rows, sizes and last change of the target after it. ``progress`` hears of each load while it runs.
     Stopping the query interrupts a running load; what it may have published in
     part, the next one completes by the spec's ``row_key``.
     """
@@ -101,7 +105,7 @@ def repeat_transfer(
         raise ValueError(f"{spec.alias}: no interval")
 
     def run(_: DataFrame, number: int) -> None:
-        _, error = logged_run(spark, spec, run_log, listener)
+        _, error = logged_run(spark, spec, run_log, listener, with_stats, progress)
         if error is not None:
             log.error("%s: run %s failed", spec.alias, number, exc_info=error)
             if on_error is not None:
