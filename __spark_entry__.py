@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from tidemark.functions import measures, typemap  # noqa: E402
-from tidemark.operators import runlog, stats, steps, workspace  # noqa: E402
+from tidemark.operators import compaction, runlog, stats, steps, workspace  # noqa: E402
 from tidemark.operators.catalog import TableNames  # noqa: E402
 from tidemark.operators.conform import conform, rejects  # noqa: E402
 from tidemark.operators.mark import high_water_mark  # noqa: E402
@@ -218,6 +218,18 @@ def partitioned_layout(spark, sf_dir):
     return _live(spark, spec)
 
 
+def bucketed_layout(spark, sf_dir):
+    """Orders and customers as targets bucketed by the customer, joined without an exchange of either."""
+    database = workspace.fresh_database(spark)
+    for name, key in (("orders", "o_custkey"), ("customer", "c_custkey")):
+        transfer(spark, TransferSpec(
+            alias=name, database=database, query=f"SELECT * FROM {_sql_name(sf_dir, name)}",
+            layout=Layout(bucket_by=(key,), buckets=16, sort_by=(key,))))
+    orders, customers = (spark.table(TableNames.of(spark, name, database).live) for name in ("orders", "customer"))
+    return orders.join(customers.hint("merge"), F.col("o_custkey") == F.col("c_custkey"), "left").groupBy(
+        "o_custkey", "c_name").agg(F.count(F.lit(1)).alias("orders"), F.max("o_orderdate").alias("last_order"))
+
+
 def multi_transfer(spark, sf_dir):
     runs, _ = _several(spark, sf_dir)
     return runs.select("alias", "mode", "rows", "status")
@@ -377,6 +389,18 @@ def transfer_status(spark, sf_dir):
     return status.select("alias", F.col("last_run.started").alias("started"), F.col("last_run.rows").alias("rows"))
 
 
+def compacted_log(spark, sf_dir):
+    """The events as log rows, in many files, merged after each of three appends; totals of the log."""
+    log = f"{workspace.fresh_database(spark)}.event_log"
+    events = _load(spark, sf_dir, "events")
+    for third in range(3):
+        rows = events.where(F.pmod("user_id", F.lit(3)) == third).repartition(16)
+        runlog.append_log(rows.select(F.col("event_type").alias("alias"), F.col("event_id").alias("rows"), F.col("ts").alias("ended")), log)
+        compaction.compact_log(spark, log, least_files=8)
+    return spark.table(log).groupBy("alias").agg(
+        F.count(F.lit(1)).alias("runs"), F.sum("rows").alias("rows"), F.max("ended").alias("ended"))
+
+
 # ---- statistics ----------------------------------------------------------
 
 
@@ -457,6 +481,7 @@ def _own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "incremental_noop": incremental_noop,
         "sorted_layout": sorted_layout,
         "partitioned_layout": partitioned_layout,
+        "bucketed_layout": bucketed_layout,
         "multi_transfer": multi_transfer,
         "transfer_totals": transfer_totals,
         "year_max_topk": year_max_topk,
@@ -469,6 +494,7 @@ def _own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "step_checksum": step_checksum,
         "transfer_run_log": transfer_run_log,
         "transfer_status": transfer_status,
+        "compacted_log": compacted_log,
         "stats_join": stats_join,
         "table_stats": table_stats,
         "table_sizes": table_sizes,
@@ -546,6 +572,11 @@ def _own_oracle_sql() -> dict[str, str]:
             "SELECT l_returnflag, count(*) AS rows, min(l_shipdate) AS first, max(l_shipdate) AS last "
             "FROM lineitem GROUP BY l_returnflag",
         "partitioned_layout": "SELECT * FROM events",
+        "bucketed_layout":
+            "SELECT o_custkey, c_name, count(*) AS orders, max(o_orderdate) AS last_order "
+            "FROM orders LEFT JOIN customer ON o_custkey = c_custkey GROUP BY 1, 2",
+        "compacted_log":
+            "SELECT event_type AS alias, count(*) AS runs, sum(event_id)::BIGINT AS rows, max(ts) AS ended FROM events GROUP BY 1",
         "multi_transfer":
             "SELECT 'customer_copy' AS alias, 'refresh' AS mode, count(*) AS rows, 'success' AS status FROM customer "
             "UNION ALL SELECT 'orders_copy', 'refresh', count(*), 'success' FROM orders",

@@ -150,3 +150,59 @@ def test_contradicting_layouts_are_refused():
         Layout(sort_by=("a",), ranges=4)
     with pytest.raises(ValueError):
         Layout(partition_by=("a",), spread_by=("b",))
+
+
+def exchanges(frame):
+    frame.collect()
+    plan = frame._jdf.queryExecution().executedPlan().toString().partition("== Initial Plan ==")[0]
+    return plan.count("Exchange hashpartitioning")
+
+
+def test_bucketed_targets_join_and_group_without_an_exchange(spark, database, data):
+    layout = Layout(bucket_by=("o_custkey",), buckets=8, sort_by=("o_custkey",))
+    orders = spark.read.parquet(f"{data}/orders.parquet")
+    table = loaded(spark, database, layout, orders)
+    detail = table_detail(spark, TableNames.of(spark, "t", database).live)
+    assert (int(detail["num_buckets"]), detail["bucket_columns"], detail["sort_columns"]) == (8, ["o_custkey"], ["o_custkey"])
+    assert table.exceptAll(orders).isEmpty() and table.count() == orders.count()
+    assert exchanges(table.groupBy("o_custkey").count()) == 0
+    customers = spark.read.parquet(f"{data}/customer.parquet")
+    joined = table.join(customers.hint("merge"), F.col("o_custkey") == F.col("c_custkey"))
+    assert exchanges(joined) == 1  # of the customers
+    plain = orders.join(customers.hint("merge"), F.col("o_custkey") == F.col("c_custkey"))
+    assert exchanges(plain) == 2 and plain.count() == joined.count()
+
+
+def test_a_bucketed_target_is_appended_to_and_refreshed(spark, database):
+    spec = TransferSpec(
+        alias="t", database=database, query="select id as k, id % 7 as b from range(100)", primary_key="k",
+        range_clause="where id > {max_primary_key}", layout=Layout(bucket_by=("b",), buckets=4))
+    transfer(spark, spec)
+    from dataclasses import replace
+    more = replace(spec, query="select id as k, id % 7 as b from range(150)")
+    assert transfer(spark, more).rows == 50 and transfer(spark, more).rows == 0
+    table = spark.table(TableNames.of(spark, "t", database).live)
+    counted = table.groupBy("b").count()
+    assert exchanges(counted) == 0
+    assert {r.b: r["count"] for r in counted.collect()} == {b: len(range(b, 150, 7)) for b in range(7)}
+    assert transfer(spark, more, force_refresh=True).rows == 150
+
+
+def test_a_hot_bucket_is_written_by_several_tasks(spark, database):
+    size = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    spark.conf.set(size, "64k")
+    try:
+        rows = spark.range(0, 300_000, 1, 8).select(
+            F.when(F.col("id") % 3 == 0, 6).otherwise(F.col("id")).alias("k"), F.xxhash64("id").alias("v"))
+        table = loaded(spark, database, Layout(bucket_by=("k",), buckets=4), rows)
+    finally:
+        spark.conf.unset(size)
+    hot = table.where("k = 6").groupBy(F.col("_metadata.file_path")).count().collect()
+    assert len(hot) > 1 and sum(r["count"] for r in hot) == 100_000
+    assert table.count() == 300_000 and exchanges(table.groupBy("k").count()) == 0
+
+
+def test_buckets_need_columns_and_a_number():
+    for wrong in ({"bucket_by": ("a",)}, {"buckets": 4}, {"bucket_by": ("a",), "buckets": 0}, {"bucket_by": ("a",), "buckets": 2, "spread_by": ("b",)}):
+        with pytest.raises(ValueError):
+            Layout(**wrong)

@@ -124,3 +124,83 @@ def test_catalogue_of_a_remote_database(spark, monkeypatch):
     assert asked[0][0] == 1 and asked[0][1].endswith("WHERE table_schema = 'shop'")
     with pytest.raises(ValueError):
         jdbc.catalogue_query("shop' OR '1")
+
+
+def met(keys, predicates):
+    """How many rows meet each predicate; asks that every row meets just one."""
+    hits = keys.select(*(F.coalesce(F.expr(p), F.lit(False)).cast("int").alias(f"p{i}") for i, p in enumerate(predicates)))
+    every = sum((F.col(c) for c in hits.columns), F.lit(0))
+    assert hits.where(every != 1).isEmpty()
+    return list(hits.agg(*(F.sum(c) for c in hits.columns)).first())
+
+
+def test_cuts_of_a_sparse_key_are_of_equal_frequency(spark):
+    """Most keys lie in a millionth of the range; ranges of equal width would put them into one."""
+    keys = spark.range(10_000).select(F.when(F.col("id") < 9_990, F.col("id")).otherwise(F.col("id") * 1_000_000).alias("cut"))
+    parts = met(keys, jdbc.range_predicates("cut", jdbc.key_cuts(keys, 8)))
+    assert len(parts) == 8 and max(parts) <= 1.05 * min(parts)
+
+
+def test_a_hot_key_has_ranges_of_its_own_and_nulls_have_one(spark):
+    keys = spark.range(9_000).select(
+        F.when(F.col("id") % 3 == 0, 4_000).when(F.col("id") % 100 != 1, F.col("id")).cast("int").alias("cut"), F.pmod(F.hash("id"), F.lit(1000)).alias("h"))
+    cuts = jdbc.key_cuts(keys, 9)
+    assert cuts == sorted(cuts, key=int) and cuts.count("4000") >= 3
+    whole = met(keys, jdbc.range_predicates("cut", cuts))
+    assert max(whole) >= 3_000  # the hot key cannot be cut by itself
+    split = met(keys, jdbc.range_predicates("cut", cuts, "h"))
+    assert max(split) < 1_600 and sum(split) == 9_000
+    predicates = jdbc.range_predicates("cut", cuts, "h")
+    assert [("cut IS NULL" in p) for p in predicates] == [True] + [False] * (len(predicates) - 1)
+
+
+@pytest.mark.parametrize("kind", ["date", "timestamp", "timestamp_ntz", "decimal(20,4)", "double"])
+def test_cuts_of_other_types(spark, kind):
+    day = F.date_add(F.lit("2024-01-01").cast("date"), (F.col("id") % 200).cast("int"))
+    value = day.cast(kind) if kind[0] == "d" and kind == "date" or kind.startswith("timestamp") else (F.col("id") / 7).cast(kind)
+    keys = spark.range(2_000).select(value.alias("cut")).unionByName(spark.sql(f"select cast(null as {kind}) as cut"))
+    parts = met(keys, jdbc.range_predicates("cut", jdbc.key_cuts(keys, 4)))
+    assert len(parts) == 4 and sum(parts) == 2_001 and max(parts) < 700
+
+
+def test_no_keys_no_cuts_and_texts_are_refused(spark):
+    assert jdbc.key_cuts(spark.sql("select cast(null as int) as cut"), 4) == []
+    assert jdbc.range_predicates("k", []) == []
+    with pytest.raises(TypeError, match="string"):
+        jdbc.key_cuts(spark.sql("select 'a' as cut"), 4)
+    with pytest.raises(ValueError):
+        JdbcSource("jdbc:db", partition_column="id", num_partitions=3, bounds=(1, 2), sample="true")
+    with pytest.raises(ValueError):
+        JdbcSource("jdbc:db", partition_column="id", sample="true")
+
+
+def test_sampled_cuts_become_the_predicates_of_the_read(spark):
+    """What the reader is given; no database is started for it."""
+    asked = []
+
+    class Reader:
+        def format(self, _):
+            return self
+
+        def options(self, **options):
+            asked.append(options)
+            return self
+
+        def load(self):
+            return spark.range(1, 100).toDF("cut")
+
+        def jdbc(self, url, table, predicates, properties):
+            asked.append((url, table, predicates, properties))
+
+    class Session:
+        read = Reader()
+
+    source = JdbcSource("jdbc:db", partition_column="id", num_partitions=2, sample="MOD(id, 10) = 0")
+    jdbc.read_jdbc(Session(), source, "select * from t")
+    assert asked[0]["query"] == "SELECT id AS cut FROM (select * from t) src WHERE MOD(id, 10) = 0"
+    url, table, predicates, properties = asked[1]
+    assert (url, table, properties) == ("jdbc:db", "(select * from t) src", {"fetchsize": "10000"})
+    assert predicates == ["((id < 50) OR id IS NULL)", "(id >= 50)"]
+    asked.clear()
+    jdbc.read_jdbc(Session(), JdbcSource("jdbc:db", partition_column="id", cuts=("7",)), "select * from t")
+    assert asked[0][2] == ["((id < 7) OR id IS NULL)", "(id >= 7)"]

@@ -128,3 +128,30 @@ def test_column_sizes_can_be_left_out(spark, tables, data):
 def test_unknown_tables_are_named(spark, database):
     with pytest.raises(Exception, match="no_such"):
         table_stats(spark, [f"{database}.no_such"])
+
+
+def plan_of(frame):
+    return frame._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_all_tables_are_listed_in_one_scan(spark, tables):
+    plan = plan_of(table_stats(spark, tables.values()))
+    assert plan.count("binaryFile") == 1 and plan.count("Relation") == 1
+    assert plan_of(table_sizes(spark, tables.values())).count("binaryFile") == 1
+    assert plan_of(file_parts(spark, tables.values())).count("binaryFile") == 1
+
+
+def test_tables_in_folders_of_several_depths(spark, database, tmp_path):
+    """One table lies in a deeper folder, one beside a folder whose name begins like its own, one is named twice."""
+    for name, folder, rows in (("a", "x", 3), ("b", "deep/er/y", 4), ("c", "xx", 5)):
+        spark.range(rows).write.option("path", str(tmp_path / folder)).saveAsTable(f"{database}.{name}")
+    names = [f"{database}.{n}" for n in "abca"]
+    assert {r.table: r.rows for r in table_stats(spark, names).collect()} == {"a": 3, "b": 4, "c": 5}
+    sizes = {r.table: r.size for r in table_sizes(spark, names).collect()}
+    assert sizes == {t: sum(f.stat().st_size for f in (tmp_path / p).glob("part-*")) for t, p in (("a", "x"), ("b", "deep/er/y"), ("c", "xx"))}
+
+
+def test_statistics_with_and_without_column_sizes_agree(spark, tables):
+    shared = ["table", "rows", "last_modified", "disk_size", "pk_size", "engine", "bytes_size"]
+    with_sizes, without = (table_stats(spark, tables.values(), column_sizes=c).select(shared) for c in (True, False))
+    assert sorted(map(tuple, with_sizes.collect())) == sorted(map(tuple, without.collect()))

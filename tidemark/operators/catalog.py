@@ -90,6 +90,10 @@ def create_table(
     parts = ""
     if layout.partition_by:
         parts = f"PARTITIONED BY ({', '.join(map(quoted, layout.partition_by))})"
+    if layout.bucket_by:
+        parts = f"CLUSTERED BY ({', '.join(map(quoted, layout.bucket_by))}) "
+        parts += f"SORTED BY ({', '.join(map(quoted, layout.sort_by))}) " if layout.sort_by else ""
+        parts += f"INTO {layout.buckets} BUCKETS"
     options = layout.write_options()
     options_text = ", ".join(f"{sql_text(k)} = {sql_text(v)}" for k, v in options.items())
     spark.sql(

@@ -43,6 +43,14 @@ def delete(spark: SparkSession, path: str) -> None:
     system.delete(place, True)
 
 
+def move(spark: SparkSession, path: str, folder: str) -> None:
+    """Rename a file into another folder of its file system."""
+    system, place = _place(spark, path)
+    _, target = _place(spark, f"{folder}/{place.getName()}")
+    if not system.rename(place, target):
+        raise OSError(f"{path} could not be moved to {folder}")
+
+
 def folders(spark: SparkSession, path: str, prefix: str) -> list[str]:
     """The folders in a folder whose names begin with ``prefix``."""
     system, place = _place(spark, path)

@@ -19,9 +19,12 @@ def arrange(df: DataFrame, layout: Layout) -> DataFrame:
     depend on the order of rows in a task, so a task that is run again after an
     executor is lost sends each row to the same range.
 
-    Partitioned and spread layouts use a rebalance, with which adaptive execution
-    splits large partitions and merges small ones.
+    Partitioned, spread and bucketed layouts use a rebalance, with which adaptive execution
+    splits large partitions and merges small ones. A hot bucket so comes from several
+    tasks, a file each; the writer sorts the rows of a bucketed table itself.
     """
+    if layout.bucket_by:
+        return df.hint("rebalance", layout.buckets, *(F.col(c) for c in layout.bucket_by))
     if layout.ranged:
         number = [layout.ranges] if layout.ranges else []
         df = df.withColumn(_TASK, F.spark_partition_id()).repartitionByRange(*number, *layout.sort_by, _TASK).drop(_TASK)

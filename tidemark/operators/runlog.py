@@ -41,6 +41,7 @@ def run_frame(spark: SparkSession, runs: Iterable[tuple]) -> DataFrame:
 def append_log(rows: DataFrame, table: str) -> None:
     """Append to a log table, created on first use."""
     if table_exists(rows.sparkSession, table):
+        rows.sparkSession.catalog.refreshTable(table)  # it may have been compacted by another session
         rows.write.insertInto(table)
     else:
         rows.write.format("parquet").saveAsTable(table)

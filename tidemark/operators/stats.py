@@ -10,12 +10,14 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
+from tidemark.functions.literals import literal_frame
 from tidemark.functions.measures import compression_ratio
+from tidemark.operators import files
 from tidemark.operators.catalog import existing, table_detail
 from tidemark.operators.mark import metadata_session
 
 if TYPE_CHECKING:
-    import pandas as pd
+    import pyarrow as pa
 
 PARTS_SCHEMA = (
     "database string, table string, active boolean, rows bigint, modification_time timestamp, "
@@ -86,19 +88,33 @@ def _union(frames: Iterable[DataFrame]) -> DataFrame:
     return functools.reduce(DataFrame.unionByName, frames)
 
 
-def _names(detail: dict) -> tuple[Column, Column]:
-    return F.lit(detail["namespace"][-1]).alias("database"), F.lit(detail["table_name"]).alias("table")
+def _places(spark: SparkSession, tables: Iterable[str]) -> list[tuple[str, str, str, str]]:
+    """Folder, database, table and engine of each table, once."""
+    details = (table_detail(spark, name) for name in existing(spark, tables))
+    return list(dict.fromkeys(
+        (files.same_place(spark, d["location"]), d["namespace"][-1], d["table_name"], d["provider"]) for d in details))
 
 
-def _files(session: SparkSession, location: str) -> DataFrame:
-    """Path, time and size of the files below a folder; no content is read."""
-    try:
+def _listing(spark: SparkSession, session: SparkSession, places: list[tuple[str, str, str, str]]) -> DataFrame:
+    """The files of all tables, in one scan that reads no content: database, table, engine, path, time and size.
+
+    A file belongs to each table whose folder it lies in. Paths are cut at the depths of the folders and joined with
+    them, so a file is matched by equality, however many tables there are.
+    """
+    folders = {place for place, *_ in places if files.exists(spark, place)}  # a table that was never loaded may have none
+    roots = sorted(f for f in folders if not any(f.startswith(other + "/") for other in folders))
+    found = "path string, modificationTime timestamp, length bigint"
+    if roots:
         reader = session.read.format("binaryFile").option("recursiveFileLookup", "true")
-        return reader.load(location).select("path", "modificationTime", "length")
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":  # a table that was created and never loaded
-            raise
-        return session.createDataFrame([], "path string, modificationTime timestamp, length bigint")
+        listed = reader.load(roots).select("path", "modificationTime", "length")
+    else:
+        listed = session.createDataFrame([], found)
+    depths = sorted({f.count("/") + 1 for f in folders}) or [1]
+    cut = listed.select("*", F.explode(F.array(*(F.substring_index("path", "/", d) for d in depths))).alias("place"))
+    known = literal_frame(session, places, T.StructType.fromDDL("place string, database string, table string, engine string"))
+    return cut.join(known, "place").select(
+        "database", "table", "engine", "path", F.col("modificationTime").alias("modification_time"),
+        F.col("length").alias("bytes"))
 
 
 def _row_count(session: SparkSession, location: str, schema: T.StructType) -> DataFrame:
@@ -115,97 +131,120 @@ def _row_count(session: SparkSession, location: str, schema: T.StructType) -> Da
 def file_parts(spark: SparkSession, tables: Iterable[str]) -> DataFrame:
     """Storage metadata of Parquet tables.
 
-    A table gives one row per file with its size and time, and one row with its
+    A table gives one row per file with its size and time, from one listing of all tables, and one row with its
     row count, which the reader takes from the footers.
     """
-    session, frames = metadata_session(spark), []
-    for name in existing(spark, tables):
+    session, tables = metadata_session(spark), list(tables)
+    none, active = F.lit(0).cast("bigint"), F.lit(True).alias("active")
+    frames = [_listing(spark, session, _places(spark, tables)).select(
+        "database", "table", active, none.alias("rows"), "modification_time", "bytes",
+        none.alias("primary_key_bytes_in_memory"), "engine")]
+    for name in tables:
         detail = table_detail(spark, name)
-        schema = spark.table(name).schema
-        same = (*_names(detail), F.lit(True).alias("active"))
-        none = F.lit(0).cast("bigint")
-        engine = F.lit(detail["provider"]).alias("engine")
-        files = _files(session, detail["location"]).select(
-            *same, none.alias("rows"), F.col("modificationTime").alias("modification_time"),
-            F.col("length").alias("bytes"), none.alias("primary_key_bytes_in_memory"), engine)
-        count = _row_count(session, detail["location"], schema).select(
-            *same, "rows", F.lit(None).cast("timestamp").alias("modification_time"),
-            none.alias("bytes"), none.alias("primary_key_bytes_in_memory"), engine)
-        frames += [files, count]
+        frames.append(_row_count(session, detail["location"], spark.table(name).schema).select(
+            F.lit(detail["namespace"][-1]).alias("database"), F.lit(detail["table_name"]).alias("table"), active, "rows",
+            F.lit(None).cast("timestamp").alias("modification_time"), none.alias("bytes"),
+            none.alias("primary_key_bytes_in_memory"), F.lit(detail["provider"]).alias("engine")))
     return _union(frames)
 
 
-def _footer_reader() -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
-    """The task that reads footers: column sizes of a batch of files, a row per table and column.
+def _footer_reader() -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """The task that reads footers: adds rows and column sizes to a batch of files.
 
     It is an inner function so that it is sent to executors whole; they need
-    pyarrow and pandas, but not this package.
+    pyarrow, but not this package.
     """
 
     def read(batches):
-        from collections import defaultdict
-
-        import pandas
+        import pyarrow
         import pyarrow.fs
         import pyarrow.parquet
 
+        sizes = pyarrow.list_(pyarrow.struct([
+            ("column", pyarrow.string()), ("compressed", pyarrow.int64()), ("uncompressed", pyarrow.int64())]))
         for batch in batches:
-            sizes = defaultdict(lambda: [0, 0])
-            for database, table, path in batch.itertuples(index=False):
+            rows, columns = [], []
+            for path in batch.column("path").to_pylist():
                 scheme, _, rest = path.partition(":")
                 if scheme == "file":
-                    files, inner = pyarrow.fs.LocalFileSystem(), "/" + rest.lstrip("/")
+                    system, inner = pyarrow.fs.LocalFileSystem(), "/" + rest.lstrip("/")
                 else:
                     # The folder of a partition value may hold any character; only the host is a URI.
                     host, _, inner = rest.lstrip("/").partition("/")
                     scheme = {"s3a": "s3", "s3n": "s3"}.get(scheme, scheme)
-                    files, base = pyarrow.fs.FileSystem.from_uri(f"{scheme}://{host}/")
+                    system, base = pyarrow.fs.FileSystem.from_uri(f"{scheme}://{host}/")
                     inner = f"{base.rstrip('/')}/{inner}"
-                with files.open_input_file(inner) as handle:
+                with system.open_input_file(inner) as handle:
                     footer = pyarrow.parquet.read_metadata(handle)
+                found = {}
                 for g in range(footer.num_row_groups):
                     group = footer.row_group(g)
                     for c in range(group.num_columns):
                         chunk = group.column(c)
-                        size = sizes[database, table, chunk.path_in_schema.partition(".")[0]]
+                        size = found.setdefault(chunk.path_in_schema.partition(".")[0], [0, 0])
                         size[0] += chunk.total_compressed_size
                         size[1] += chunk.total_uncompressed_size
-            yield pandas.DataFrame(
-                [(*key, *size) for key, size in sizes.items()],
-                columns=["database", "table", "column", "data_compressed_bytes", "data_uncompressed_bytes"])
+                rows.append(footer.num_rows)
+                columns.append([{"column": k, "compressed": a, "uncompressed": b} for k, (a, b) in found.items()])
+            yield pyarrow.RecordBatch.from_arrays(
+                [*batch.columns, pyarrow.array(rows, pyarrow.int64()), pyarrow.array(columns, sizes)],
+                names=[*batch.schema.names, "rows", "columns"])
 
     return read
 
 
-def file_columns(spark: SparkSession, tables: Iterable[str]) -> DataFrame:
-    """Stored sizes of the columns of Parquet tables, in one row or more for each column.
+def _footers(listing: DataFrame) -> DataFrame:
+    """Files with the rows and column sizes of their footers.
 
     Spark has no function for them, so tasks read the footers of the files that
     Spark lists and hands out.
     """
-    session, frames = metadata_session(spark), []
-    for name in existing(spark, tables):
-        detail = table_detail(spark, name)
-        frames.append(_files(session, detail["location"]).select(*_names(detail), "path"))
-    return _union(frames).mapInPandas(_footer_reader(), COLUMNS_SCHEMA)
+    sizes = T.ArrayType(T.StructType.fromDDL("column string, compressed bigint, uncompressed bigint"))
+    schema = T.StructType([*listing.schema.fields]).add("rows", T.LongType()).add("columns", sizes)
+    return listing.mapInArrow(_footer_reader(), schema)
+
+
+def file_columns(spark: SparkSession, tables: Iterable[str]) -> DataFrame:
+    """Stored sizes of the columns of Parquet tables, a row for each column of each file."""
+    found = _footers(_listing(spark, metadata_session(spark), _places(spark, tables)))
+    return found.select("database", "table", F.explode("columns").alias("of")).select(
+        "database", "table", "of.column", F.col("of.compressed").alias("data_compressed_bytes"),
+        F.col("of.uncompressed").alias("data_uncompressed_bytes"))
 
 
 def table_stats(spark: SparkSession, tables: Iterable[str], column_sizes: bool = True) -> DataFrame:
     """Statistics of tables of the catalogue, a row per table that holds data.
 
-    Without ``column_sizes`` no footer is opened from Python, and compressed and
+    All tables are listed in one scan, whose tasks also read rows and column sizes from the footers. Without
+    ``column_sizes`` no footer is opened from Python: row counts are pushed into a reader for each table, and compressed and
     uncompressed sizes stay empty.
     """
     tables = list(tables)
-    columns = file_columns(spark, tables) if column_sizes else spark.createDataFrame([], COLUMNS_SCHEMA)
-    return storage_stats(file_parts(spark, tables), columns)
+    if not column_sizes:
+        return storage_stats(file_parts(spark, tables), spark.createDataFrame([], COLUMNS_SCHEMA))
+    found = _footers(_listing(spark, metadata_session(spark), _places(spark, tables)))
+
+    def total(size: str) -> Column:
+        of_file = F.aggregate("columns", F.lit(0).cast("bigint"), lambda sum_, column: sum_ + column[size])
+        return F.nullif(F.sum(of_file), F.lit(0))  # files without a row group have no column sizes
+
+    totals = found.groupBy("database", "table", "engine").agg(
+        F.sum("rows").alias("rows"),
+        F.max("modification_time").alias("last_modified"),
+        F.sum("bytes").alias("disk_size"),
+        F.lit(0).cast("bigint").alias("pk_size"),
+        F.sum("bytes").alias("bytes_size"),
+        total("compressed").alias("compressed_size"),
+        total("uncompressed").alias("uncompressed_size"),
+    )
+    ratio = compression_ratio(F.col("uncompressed_size"), F.col("compressed_size"))
+    return totals.withColumn("compression_ratio", ratio).select(*STATS_SCHEMA.names)
 
 
 def table_sizes(spark: SparkSession, tables: Iterable[str]) -> DataFrame:
-    """Bytes on disk of each table; an empty table has 0."""
-    session, frames = metadata_session(spark), []
-    for name in existing(spark, tables):
-        detail = table_detail(spark, name)
-        size = _files(session, detail["location"]).agg(F.coalesce(F.sum("length"), F.lit(0)).alias("size"))
-        frames.append(size.select(*_names(detail), "size"))
-    return _union(frames)
+    """Bytes on disk of each table, from one listing; an empty table has 0."""
+    session, places = metadata_session(spark), _places(spark, tables)
+    known = literal_frame(session, [p[1:3] for p in places], T.StructType.fromDDL("database string, table string"))
+    stored = _listing(spark, session, places).groupBy("database", "table").agg(F.sum("bytes").alias("size"))
+    return known.join(stored, ["database", "table"], "left").select(
+        "database", "table", F.coalesce("size", F.lit(0).cast("bigint")).alias("size"))

@@ -92,6 +92,7 @@ def _append(spark: SparkSession, table: str, step: DataFrame, status: str, elaps
         "checksum",
         F.lit(time.time_ns()).alias("seq"),
     )
+    spark.catalog.refreshTable(table)  # it may have been compacted by another session
     row.write.insertInto(table)
 
 

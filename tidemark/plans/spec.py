@@ -42,6 +42,8 @@ class Layout:
     not raise, so give it for large sources (``spark.sql.shuffle.partitions``
     else). ``partition_by`` makes directories. ``spread_by`` shuffles by the
     given columns before writing, for sources that come in few splits.
+    ``bucket_by`` deals rows into ``buckets`` by a hash of columns, sorted by ``sort_by`` within a file: joins and
+    groupings by these columns then need no exchange of the target.
     """
 
     sort_by: tuple[str, ...] = ()
@@ -49,19 +51,23 @@ class Layout:
     ranges: int | None = None
     partition_by: tuple[str, ...] = ()
     spread_by: tuple[str, ...] = ()
+    bucket_by: tuple[str, ...] = ()
+    buckets: int | None = None
     row_group_bytes: int | None = None
     compression: str | None = None
 
     def __post_init__(self):
-        for name in ("sort_by", "partition_by", "spread_by"):
+        for name in ("sort_by", "partition_by", "spread_by", "bucket_by"):
             if isinstance(getattr(self, name), str):
                 raise TypeError(f"{name} takes a tuple of column names")
         if self.ranged and not self.sort_by:
             raise ValueError("a ranged layout needs sort_by")
         if self.ranges is not None and not (self.ranged and self.ranges > 0):
             raise ValueError("ranges is the number of files of a ranged layout")
-        if sum(map(bool, (self.ranged, self.partition_by, self.spread_by))) > 1:
-            raise ValueError("choose one of ranged, partition_by and spread_by")
+        if bool(self.bucket_by) != (self.buckets is not None) or (self.buckets is not None and self.buckets < 1):
+            raise ValueError("bucket_by and a number of buckets go together")
+        if sum(map(bool, (self.ranged, self.partition_by, self.spread_by, self.bucket_by))) > 1:
+            raise ValueError("choose one of ranged, partition_by, spread_by and bucket_by")
 
     def write_options(self) -> dict[str, str]:
         options = {}
@@ -81,6 +87,13 @@ class JdbcSource:
     are its smallest and largest value, if they are known; else the remote
     database is asked for them, which runs the query once more. Without
     ``partition_column`` one task reads everything.
+
+    For a sparse or skewed key give ``sample``, a condition by which the remote
+    database keeps some of the rows (``RAND() < 0.001``): the ranges are then cut
+    at equal shares of the sampled keys. ``cuts`` gives them at once, as SQL values in
+    ascending order; one that stands there more than once is a hot value. A hot value
+    has a range of its own, or several by ``split_hot``, a remote expression that is
+    a whole number of 0 or more.
     """
 
     url: str
@@ -90,6 +103,9 @@ class JdbcSource:
     partition_column: str | None = None
     num_partitions: int = 1
     bounds: tuple | None = None
+    sample: str | None = None
+    cuts: tuple[str, ...] | None = None
+    split_hot: str | None = None
     fetch_size: int = 10_000
     options: dict[str, str] = field(default_factory=dict, repr=False)
 
@@ -98,6 +114,12 @@ class JdbcSource:
             raise ValueError("num_partitions needs a partition_column")
         if self.bounds is not None and self.num_partitions < 2:
             raise ValueError("bounds need num_partitions")
+        if self.sample is not None and self.num_partitions < 2:
+            raise ValueError("sample needs num_partitions")
+        if self.cuts is not None and not self.partition_column:
+            raise ValueError("cuts need a partition_column")
+        if sum(x is not None for x in (self.bounds, self.sample, self.cuts)) > 1:
+            raise ValueError("choose one of bounds, sample and cuts")
 
 
 RangeClause = str | Callable[[Column], Column]

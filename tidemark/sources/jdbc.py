@@ -4,7 +4,10 @@ from __future__ import annotations
 
 from dataclasses import replace
 
+from itertools import groupby
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import types as T
 
 from tidemark.plans.spec import JdbcSource, check_name
 
@@ -67,7 +70,61 @@ def read_catalogue(spark: SparkSession, source: JdbcSource, database: str) -> Da
         "table", "column", "position", "type_text", (F.lower("is_nullable") == "yes").alias("nullable"))
 
 
+def sample_query(source: JdbcSource, query: str) -> str:
+    """The keys of the rows that the remote database keeps as a sample."""
+    return f"SELECT {source.partition_column} AS cut FROM {query_relation(query)} WHERE {source.sample}"
+
+
+def key_cuts(keys: DataFrame, ranges: int) -> list[str]:
+    """The keys of a column ``cut`` at equal shares, as SQL values in ascending order; a hot one stands there more than once.
+
+    Only numbers, dates and timestamps: Spark and a remote database may sort texts differently, and ranges between cuts
+    that are out of order would lose rows. The keys are aggregated, not collected.
+    """
+    kind = keys.schema["cut"].dataType
+    if not isinstance(kind, (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType)):
+        raise TypeError(f"no cuts over {kind.simpleString()}")
+    shares = [i / ranges for i in range(1, ranges)]
+    if isinstance(kind, T.FractionalType):
+        keys = keys.where(~F.isnan(F.col("cut").cast("double")))
+    found = F.percentile_approx("cut", shares, max(10_000, 100 * ranges))
+    text = F.transform(found, lambda value: value.cast("string"))  # in the time zone of the session, as Spark's own ranges
+    values = keys.agg(text.alias("cuts")).first().cuts or []
+    return values if isinstance(kind, T.NumericType) else [f"'{value}'" for value in values]
+
+
+def range_predicates(column: str, cuts: list[str], split_hot: str | None = None) -> list[str]:
+    """Conditions of the ranges between cuts; each row meets just one, rows without a key the first."""
+    predicates, low = [], None
+    for cut, equal in groupby(cuts):
+        predicates.append(f"({column} < {cut})" if low is None else f"({low} AND {column} < {cut})")
+        low, shares = f"{column} >= {cut}", len(list(equal))
+        if shares > 1:
+            low = f"{column} > {cut}"
+            parts = [f"{column} = {cut}"]
+            if split_hot:
+                part = f"MOD({split_hot}, {shares})"
+                parts = [f"{column} = {cut} AND {part} = {i}" for i in range(1, shares)]
+                parts.append(f"{column} = {cut} AND ({part} = 0 OR {split_hot} IS NULL)")
+            predicates += [f"({p})" for p in parts]
+    if low is not None:
+        predicates.append(f"({low})")
+        predicates[0] = f"({predicates[0]} OR {column} IS NULL)"
+    return predicates
+
+
 def read_jdbc(spark: SparkSession, source: JdbcSource, query: str) -> DataFrame:
+    cuts = source.cuts
+    if source.sample is not None:
+        options = {**connection_options(source), "query": sample_query(source, query)}
+        cuts = key_cuts(spark.read.format("jdbc").options(**options).load(), source.num_partitions)
+    if cuts:
+        options = connection_options(source)
+        return spark.read.jdbc(
+            options.pop("url"), query_relation(query), properties=options,
+            predicates=range_predicates(source.partition_column, list(cuts), source.split_hot))
+    if source.sample is not None or source.cuts is not None:  # no keys: one read
+        return spark.read.format("jdbc").options(**read_options(source, query)).load()
     bounds = source.bounds
     if source.num_partitions > 1 and bounds is None:
         options = {**connection_options(source), "query": bounds_query(source, query)}
