@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from tidemark.llm.sampling import even_sample, measures, remainder
 from tidemark.llm.scoring import kept, scored
-from tidemark.llm.words import Block, Words, mix
+from tidemark.llm.words import Block, Words, blocks, mix
 
 SUBWORDS, WHOLE = 1 << 16, 1 << 16
 _SHOWN = np.full(256, 32, np.uint32)
@@ -67,6 +67,13 @@ def feature_ids(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return ids[order], np.searchsorted(text[order], np.arange(len(texts) + 1))
 
 
+def features_of_all(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """``feature_ids`` of many texts, worked out a run at a time, as it takes a hundred bytes for one of a text."""
+    parts = [feature_ids(run) for _, run in blocks(pa.array(texts, pa.large_binary()))]
+    ids = np.concatenate([part.astype(np.int32) for part, _ in parts])
+    return ids, np.concatenate([[0], np.cumsum(np.concatenate([np.diff(first) for _, first in parts]))])
+
+
 def means(table: np.ndarray, ids: np.ndarray, first: np.ndarray) -> np.ndarray:
     """The mean row of the features of each text; zero without features."""
     n = np.diff(first)
@@ -143,7 +150,8 @@ def train(
     if not names:
         return LanguageModel([], np.zeros((SUBWORDS + WHOLE, 1), np.float32), np.zeros(1), 1.0, least)
     y = np.array([names.index(lang) for _, lang in found])
-    ids, first = feature_ids([t for t, _ in found])
+    ids, first = features_of_all([t for t, _ in found])
+    del found
     aside = np.arange(len(y)) % 5 == 0
     use = np.flatnonzero(~aside) if len(set(y[~aside])) == len(names) else np.arange(len(y))
 
