@@ -40,5 +40,5 @@ def test_pipeline_stages(spark, data):
         assert docs.count() > 0.5 * given.count(), name
         if name != corpus_pipeline.STAGES[-1][0]:
             assert docs.columns == given.columns
-            assert docs.exceptAll(given if "mixing" not in name else docs).isEmpty()
+            assert (docs.distinct() if "mixing" in name else docs).exceptAll(given).isEmpty()  # a mix repeats rows
     assert docs.where("NOT round_trip").isEmpty()
