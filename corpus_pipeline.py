@@ -71,9 +71,8 @@ STAGES = [
     ("BPE encoding and decoding", encode_texts),
 ]
 
-# SQL has no trained models, no seeded choice and no merges. The tests hold the operators of near copies, mixing and encoding
-# against plain versions and the filters against held-out rows; of the stages they ask for columns, rows that were
-# given and more than half of them, and that encoded texts decode. No test compares run() with a plain pipeline.
+# SQL has no trained models, no seeded choice and no merges. The tests hold run() against single operators for the filters, all
+# pairs of texts for near copies, water-filling in plain Python for the mix, and the tokenizer's library.
 ORACLE_SQL = None
 
 
